@@ -54,8 +54,14 @@ def local_time(moment: Column, zone: str) -> Column:
     return F.from_utc_timestamp(moment, zone)
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """A number with ``digits`` decimals; ``nan`` and ``inf`` in lower case without a sign of plus."""
+    plain = F.format_string(f"%.{digits}f", value)
+    infinite = F.when(value > 0, "inf").otherwise("-inf")
+    finite = F.abs(value) < float("inf")
+    return F.when(F.isnan(value), "nan").when(finite | value.isNull(), plain).otherwise(infinite)
+
+
 def summary_line(label: str, value: Column, unit: str) -> Column:
     """A report line: the label padded to 30 characters, then the value with two decimals."""
-    return F.concat(
-        F.rpad(F.lit(label), 30, " "), F.lit(" "), F.format_string("%.2f", value), F.lit(unit)
-    )
+    return F.concat(F.rpad(F.lit(label), 30, " "), F.lit(" "), fixed_text(value, 2), F.lit(unit))

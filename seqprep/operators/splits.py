@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.operators.ranges import before_key, key_at, key_ranges
@@ -23,23 +25,42 @@ def slice_bound(percent: float, rows: int) -> int:
     return round(percent * rows / 100.0)
 
 
-def with_split(df: DataFrame, rule: SplitRule, order_by: Sequence[str]) -> DataFrame:
-    """Add a ``split`` column by position in the order of ``order_by``; rows in no split go.
+def _conditions(df: DataFrame, rule: SplitRule, order_by: Sequence[str]) -> dict[str, Column]:
+    """One predicate on the order key per split.
 
-    Only the order key at each bound is worked out (from the key columns alone); the rows
-    themselves are filtered by comparing keys and are neither sorted nor exchanged.
+    Only the order key at each bound is worked out, from the key columns alone.
     """
     ranges = key_ranges(df, order_by)
     bounds = sorted({p for span in rule.values() for p in span if p is not None})
     positions = [slice_bound(p, ranges.total) for p in bounds]
     borders = dict(zip(bounds, key_at(df, ranges, positions), strict=True))
-    label = F.lit(None).cast("string")
+    found = {}
     for name, (low, high) in rule.items():
         inside = F.lit(True) if high is None else before_key(df, order_by, borders[high])
         if low is not None:
             inside = inside & ~before_key(df, order_by, borders[low])
+        found[name] = inside
+    return found
+
+
+def with_split(df: DataFrame, rule: SplitRule, order_by: Sequence[str]) -> DataFrame:
+    """Add a ``split`` column by position in the order of ``order_by``; rows in no split go.
+
+    The rows are compared with the border keys and are neither sorted nor exchanged.
+    """
+    conditions = _conditions(df, rule, order_by)
+    label = F.lit(None).cast("string")
+    for name, inside in conditions.items():
         label = F.when(inside, F.lit(name)).otherwise(label)
-    return df.withColumn("split", label).filter(F.col("split").isNotNull())
+    return df.filter(reduce(or_, conditions.values())).withColumn("split", label)
+
+
+def split_by_rule(
+    df: DataFrame, rule: SplitRule, order_by: Sequence[str]
+) -> dict[str, DataFrame]:
+    """One DataFrame per split, each a filter on the order key that reaches the scan."""
+    conditions = _conditions(df, rule, order_by)
+    return {name: df.filter(inside) for name, inside in conditions.items()}
 
 
 def pct_slice(
@@ -49,7 +70,7 @@ def pct_slice(
     high: float | None = None,
 ) -> DataFrame:
     """Rows in ``[low%, high%)`` of the row order."""
-    return with_split(df, {"slice": (low, high)}, order_by).drop("split")
+    return split_by_rule(df, {"slice": (low, high)}, order_by)["slice"]
 
 
 def splits(df: DataFrame, required: Iterable[str] = REQUIRED_SPLITS) -> dict[str, DataFrame]:

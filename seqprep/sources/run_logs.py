@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.functions.scalars import LOG_NAME_TIME, log_name_time, summary_line
+from seqprep.functions.scalars import LOG_NAME_TIME, fixed_text, log_name_time, summary_line
 
 # The step line and the labels of the summary lines.
-STEP_LINE = (
-    "[Step %d] | TPS: %.2f tokens/sec | Loss: %.6f | LR : %.8f | Duration for 1 Step: %.2f sec"
-)
+STEP_LINE = "[Step %d] | TPS: %s tokens/sec | Loss: %s | LR : %s | Duration for 1 Step: %s sec"
 STEP_PATTERN = (
     r"^\[Step (\d+)\] \| TPS: (\S+) tokens/sec \| Loss: (\S+) \| LR : (\S+)"
     r" \| Duration for 1 Step: (\S+) sec$"
@@ -33,7 +31,12 @@ LOG_NAME_PATTERN = r"(\d{6}_\d{6})\.log"
 def step_line() -> Column:
     """The log line of an interval row."""
     return F.format_string(
-        STEP_LINE, "step", "tps", "loss", F.coalesce("learning_rate", F.lit(0.0)), "seconds_per_step"
+        STEP_LINE,
+        "step",
+        fixed_text(F.col("tps"), 2),
+        fixed_text(F.col("loss"), 6),
+        fixed_text(F.coalesce("learning_rate", F.lit(0.0)), 8),
+        fixed_text(F.col("seconds_per_step"), 2),
     )
 
 
