@@ -27,6 +27,7 @@ TOKENS_BLOCK = 1_024
 LOG_STEPS = 5
 NO_LOG_STEPS = 1_000
 RUN_STEPS = 10_000
+SPAN_SECONDS = 7 * 86_400
 
 QUERIES: dict[str, Query] = {}
 
@@ -402,14 +403,19 @@ def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         RUN_STEPS,
         EPOCHS,
     )
-    started = events.filter(F.col("kind") == "begin").select("run_id", F.col("ts").alias("started"))
-    steps = intervals.select("run_id", F.col("seq").alias("ord"), run_logs.step_line().alias("line"))
-    report = summary.select(
-        "run_id", F.posexplode(run_logs.summary_lines(EPOCHS)).alias("_at", "line")
-    ).select("run_id", (F.lit(2**62) + F.col("_at")).alias("ord"), "line")
-    lines = steps.unionByName(report).join(started, "run_id")
+    ends = events.groupBy("run_id").agg(
+        F.min(F.when(F.col("kind") == "begin", F.col("ts"))).alias("started"),
+        F.max("step").alias("last_step"),
+    )
+    steps = intervals.select("run_id", "step", run_logs.step_line().alias("line"))
+    steps = steps.join(ends, "run_id").withColumn("ord", F.col("step"))
+    report = summary.join(ends, "run_id").select(
+        "run_id", "started", "last_step", F.posexplode(run_logs.summary_lines(EPOCHS))
+    )
+    after = (F.col("last_step") + 1 + F.col("pos")).alias("ord")
+    report = report.select("run_id", "started", after, F.col("col").alias("line"))
     path = storage.scratch_path(spark, "logs")
-    run_logs.write_run_logs(lines.filter(F.col("line").isNotNull()), path)
+    run_logs.write_run_logs(steps.select(*report.columns).unionByName(report), path)
     read = run_logs.read_run_logs(spark, path)
     return read.select(
         F.col("run_id").cast("bigint").alias("run_id"),
@@ -430,13 +436,21 @@ def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("ts", "learning_rate")
 
 
+@query
+def stream_throughput_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the Python fold that releases each record by itself."""
+    target = _streamed(spark, sf_dir, by_record=True)
+    found = throughput.stream_intervals(spark, target, TOKENS_BLOCK, BATCH)
+    return found.drop("ts", "learning_rate")
+
+
 @query
 def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = throughput.stream_intervals(spark, _streamed(spark, sf_dir), TOKENS_BLOCK, BATCH)
     return _rounded_summary(throughput.stream_summary(found, LOG_STEPS))
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> str:
+def _streamed(spark: SparkSession, sf_dir: str, by_record: bool = False) -> str:
     """Folder of the clock records of the event stream, all released.
 
     The whole event table is read as a stream of files in no order of time. A last event far in
@@ -451,7 +465,9 @@ def _streamed(spark: SparkSession, sf_dir: str) -> str:
     def run_to_end() -> None:
         arriving = spark.readStream.schema(shape).parquet(source)
         throughput.finish(
-            throughput.stream_throughput(arriving, LOG_STEPS, "60 days", target, 86_400)
+            throughput.stream_throughput(
+                arriving, LOG_STEPS, "60 days", target, SPAN_SECONDS, by_record
+            )
         )
 
     run_to_end()

@@ -314,6 +314,7 @@ SELECT run_id, strftime(ts, '%y%m%d_%H%M%S') AS log,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS started, kind, step, loss, label
 FROM lines JOIN started USING (run_id)"""
 ORACLE_SQL["stream_throughput"] = _intervals(str(BATCH))
+ORACLE_SQL["stream_throughput_by_record"] = ORACLE_SQL["stream_throughput"]
 ORACLE_SQL["stream_summary"] = f"""
 WITH {_RUNS}, {_timed(LOG_STEPS, str(BATCH))}
 SELECT run_id, count(*) AS intervals, round(avg(tps), 6) AS avg_tps,

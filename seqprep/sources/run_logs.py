@@ -25,6 +25,9 @@ SUMMARY_PATTERN = (
 )
 MARK_PATTERN = r"^(Start|End): (.*)$"
 ELAPSED_PATTERN = r"(?:(-?\d+) days?, )?(\d+):(\d{2}):(\d{2}(?:\.\d+)?)"
+# Numbers of lines of one run that go to one file.
+LINES_PER_FILE = 1_000_000
+
 LOG_NAME_PATTERN = r"(\d{6}_\d{6})\.log"
 
 
@@ -75,14 +78,17 @@ def log_file_name(started: Column) -> Column:
     return F.concat(F.date_format(started, LOG_NAME_TIME), F.lit(".log"))
 
 
-def write_run_logs(lines: DataFrame, path: str) -> None:
+def write_run_logs(lines: DataFrame, path: str, lines_per_file: int = LINES_PER_FILE) -> None:
     """Write ``(run_id, started, ord, line)`` as one log folder per run and start time.
 
-    Lines are placed by ranges of (run, order), so a run of any size is written by several tasks
-    and every task writes few files.
+    ``ord`` numbers the lines of a run. A run's log is one file up to ``lines_per_file`` numbers;
+    a longer run is written by as many tasks as it has such pieces. Many runs mean many small
+    files, so the number of writing tasks is kept even where the lines themselves are few.
     """
+    piece = F.floor(F.col("ord") / F.lit(lines_per_file))
     named = lines.select("run_id", log_file_name(F.col("started")).alias("log"), "ord", "line")
-    placed = named.repartitionByRange("run_id", "log", "ord")
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = named.repartition(tasks, "run_id", "log", piece)
     ordered = placed.sortWithinPartitions("run_id", "log", "ord").drop("ord")
     ordered.write.mode("overwrite").partitionBy("run_id", "log").text(path)
 

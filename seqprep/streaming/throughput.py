@@ -1,18 +1,19 @@
 """Interval throughput of training events that arrive as a stream, in any order.
 
-State is kept per run *and* span of time, so a run of any size is folded by many tasks. Each clock
-record leaves the state once the watermark has passed it, with the clock record before it in its
-span; the first record of a span gets its predecessor from the last record of the run's span
-before, when the written table is read. The sink is a parquet file sink: a retried batch never
-shows twice.
+State is kept per run *and* span of time, so a run of any size is folded by many tasks, and one
+state never holds more than a span. Clock records leave the state behind the watermark, each with
+the clock record before it in its span; the first record of a span gets its predecessor from the
+last record of the run's span before, when the written table is read. The sink is a parquet file
+sink: a retried batch never shows twice.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -27,10 +28,12 @@ from seqprep.operators.telemetry import (
 from seqprep.operators.shaping import require_columns
 
 FIELDS = ["us", "seq", "step", "loss", "learning_rate", "yields"]
+SPAN_SECONDS = 3_600
 STATE_SCHEMA = """
   us array<bigint>, seq array<bigint>, step array<bigint>, loss array<double>,
   learning_rate array<double>, yields array<boolean>, clock_us bigint, clock_step bigint
 """
+OUTPUT_FIELDS = ["run_id", "span", *FIELDS, "before_us", "before_step"]
 OUTPUT_COLUMNS = """
   span bigint, us bigint, seq bigint, step bigint, loss double, learning_rate double,
   yields boolean, before_us bigint, before_step bigint
@@ -42,51 +45,87 @@ def _fold(span_us: int):
 
     def fold(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         run_id, span = key
+        held: list[tuple] = []
         clock = (None, None)
-        frames = []
         if state.exists:
-            *held, clock_us, clock_step = state.get
+            *columns, clock_us, clock_step = state.get
+            held.extend(zip(*columns, strict=True))
             clock = (clock_us, clock_step)
-            frames.append(pd.DataFrame(dict(zip(FIELDS, held, strict=True))))
-        frames.extend(batch[FIELDS] for batch in batches)
-        frames = [frame for frame in frames if len(frame)]
-        passed_us = state.getCurrentWatermarkMs() * 1_000
-        records = pd.concat(frames) if frames else pd.DataFrame(columns=FIELDS)
-        records = records.sort_values(["us", "seq"])
-        ready, rest = records[records["us"] <= passed_us], records[records["us"] > passed_us]
-        if len(ready):
-            out = ready.assign(
-                run_id=run_id,
-                span=span,
-                before_us=pd.array([clock[0], *ready["us"][:-1]], dtype="Int64"),
-                before_step=pd.array([clock[1], *ready["step"][:-1]], dtype="Int64"),
-            )
-            clock = (int(ready["us"].iloc[-1]), int(ready["step"].iloc[-1]))
-            yield out
+        for batch in batches:
+            held.extend(zip(*(batch[name].tolist() for name in FIELDS), strict=True))
+        held.sort(key=lambda record: record[:2])
+        watermark_ms = state.getCurrentWatermarkMs()
+        passed = bisect_right(held, watermark_ms * 1_000, key=lambda record: record[0])
+        if passed:
+            ready = held[:passed]
+            before = [clock, *((record[0], record[2]) for record in ready[:-1])]
+            clock = (ready[-1][0], ready[-1][2])
+            rows = [(run_id, span, *r, *b) for r, b in zip(ready, before, strict=True)]
+            out = pd.DataFrame(rows, columns=OUTPUT_FIELDS)
+            yield out.astype({"before_us": "Int64", "before_step": "Int64"})
+        rest = held[passed:]
         span_end_ms = ((int(span) + 1) * span_us) // 1_000 + 1
-        if not len(rest) and span_end_ms <= state.getCurrentWatermarkMs():
+        if not rest and span_end_ms <= watermark_ms:
             state.remove()
             return
-        state.update((*[rest[name].tolist() for name in FIELDS], *clock))
-        wake_ms = int(rest["us"].iloc[0]) // 1_000 + 1 if len(rest) else span_end_ms
-        state.setTimeoutTimestamp(max(wake_ms, state.getCurrentWatermarkMs() + 1))
+        columns = zip(*rest, strict=True) if rest else ([] for _ in FIELDS)
+        state.update((*map(list, columns), *clock))
+        wake_ms = rest[0][0] // 1_000 + 1 if rest else span_end_ms
+        state.setTimeoutTimestamp(max(wake_ms, watermark_ms + 1))
 
     return fold
 
 
+def _clock_records(events: DataFrame, logging_steps: int, delay: str) -> DataFrame:
+    require_columns(events, EVENT_SCHEMA)
+    return (
+        events.withWatermark("ts", delay)
+        .filter(is_clock_record(logging_steps))
+        .withColumn("us", F.unix_micros("ts"))
+        .withColumn("yields", is_interval())
+    )
+
+
 def clock_stream(
-    events: DataFrame, logging_steps: int, delay: str, span_seconds: int = 3_600
+    events: DataFrame, logging_steps: int, delay: str, span_seconds: int = SPAN_SECONDS
 ) -> DataFrame:
-    """Clock records of an event stream with the clock record before each, in append mode."""
-    require_columns(events, EVENT_SCHEMA)
+    """Clock records with the one before each, a whole span at a time, in append mode.
+
+    A span leaves the state once the watermark has passed its end. State and fold are Spark's own
+    windowed aggregation.
+    """
+    clock = _clock_records(events, logging_steps, delay)
+    records = F.array_sort(F.collect_list(F.struct(*FIELDS)))
+    spans = clock.groupBy("run_id", F.window("ts", f"{span_seconds} seconds")).agg(
+        records.alias("_records")
+    )
+
+    def with_before(record: Column, at: Column) -> Column:
+        before = F.get(F.col("_records"), at - 1)
+        return F.struct(
+            *[record[name].alias(name) for name in FIELDS],
+            before["us"].alias("before_us"),
+            before["step"].alias("before_step"),
+        )
+
+    span = F.floor(F.unix_micros("window.start") / (span_seconds * MICROS)).cast("bigint")
+    return spans.select(
+        "run_id", span.alias("span"), F.inline(F.transform("_records", with_before))
+    )
+
+
+def clock_stream_by_record(
+    events: DataFrame, logging_steps: int, delay: str, span_seconds: int = SPAN_SECONDS
+) -> DataFrame:
+    """The same rows, each as soon as the watermark has passed the record itself.
+
+    The state is kept by a Python fold, which costs more per run and span.
+    """
     span_us = span_seconds * MICROS
     run_type = events.schema["run_id"].dataType.simpleString()
     clock = (
-        events.withWatermark("ts", delay)
-        .filter(is_clock_record(logging_steps))
-        .withColumn("us", F.unix_micros("ts"))
+        _clock_records(events, logging_steps, delay)
         .withColumn("span", F.floor(F.col("us") / span_us).cast("bigint"))
-        .withColumn("yields", is_interval())
         .select("run_id", "span", "ts", *FIELDS)
     )
     return clock.groupBy("run_id", "span").applyInPandasWithState(
@@ -103,15 +142,17 @@ def stream_throughput(
     logging_steps: int,
     delay: str,
     path: str,
-    span_seconds: int = 3_600,
+    span_seconds: int = SPAN_SECONDS,
+    by_record: bool = False,
 ) -> StreamingQuery:
     """Start the stream for what is available now; clock records are appended under ``path``.
 
     Records closer than ``delay`` to the newest event stay in the state until later events move
     the watermark on.
     """
+    source = clock_stream_by_record if by_record else clock_stream
     return (
-        clock_stream(events, logging_steps, delay, span_seconds)
+        source(events, logging_steps, delay, span_seconds)
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", f"{path}/clock")

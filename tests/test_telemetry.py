@@ -159,7 +159,7 @@ def test_run_events_do_not_depend_on_the_number_of_ranges(spark, sf_dir):
     assert one.exceptAll(many).isEmpty() and one.count() == many.count()
 
 
-def stream_of(spark, parts, delay, k=5, span=60):
+def stream_of(spark, parts, delay, by_record, k=5, span=60):
     """Feed files one by one, each in its own batch, then a far-future event."""
     source, target = storage.scratch_path(spark, "in"), storage.scratch_path(spark, "out")
     for part in parts:
@@ -167,7 +167,8 @@ def stream_of(spark, parts, delay, k=5, span=60):
         arriving = (
             spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(source)
         )
-        throughput.finish(throughput.stream_throughput(arriving, k, delay, target, span), 1)
+        started = throughput.stream_throughput(arriving, k, delay, target, span, by_record)
+        throughput.finish(started, 1)
     return target
 
 
@@ -175,11 +176,12 @@ def sentinel(spark):
     return small(spark, (None, 0, 0, "begin", START + dt.timedelta(days=400), None, None))
 
 
-def test_stream_equals_batch_in_any_order(spark, events):
+@pytest.mark.parametrize("by_record", [False, True])
+def test_stream_equals_batch_in_any_order(spark, events, by_record):
     quarter = F.ntile(4).over(Window.orderBy("ts", "run_id", "seq"))
     numbered = events.withColumn("_q", quarter).cache()
     parts = [numbered.filter(F.col("_q") == q).drop("_q") for q in (3, 1, 4, 2)]
-    target = stream_of(spark, [*parts, sentinel(spark)], "30 days")
+    target = stream_of(spark, [*parts, sentinel(spark)], "30 days", by_record)
     got = throughput.stream_intervals(spark, target, BLOCK, BATCH)
     want = telemetry.interval_throughput(events, BLOCK, BATCH, 5)
     keep = ("run_id", "seq", "step", "steps", "seconds", "tps")
@@ -192,16 +194,25 @@ def test_stream_equals_batch_in_any_order(spark, events):
         assert running[row["run_id"]]["avg_step_seconds"] == pytest.approx(row["avg_step_seconds"])
 
 
-def test_records_behind_the_watermark_come_out_before_the_end(spark):
+def test_a_record_need_not_wait_for_its_span(spark):
+    first = small(spark, event(1, 0, "begin", 0), event(1, 1, "step", 10, 5, 1.0))
+    later = small(spark, event(2, 0, "begin", 130))
+    target = stream_of(spark, [first, later], "100 seconds", by_record=True)
+    assert throughput.stream_intervals(spark, target, BLOCK, BATCH).count() == 1
+
+
+@pytest.mark.parametrize("by_record", [False, True])
+def test_records_behind_the_watermark_come_out_before_the_end(spark, by_record):
     first = small(spark, event(1, 0, "begin", 0), event(1, 1, "step", 10, 5, 1.0))
     later = small(spark, event(2, 0, "begin", 1000))
-    target = stream_of(spark, [first, later], "100 seconds")
+    target = stream_of(spark, [first, later], "100 seconds", by_record)
     got = throughput.stream_intervals(spark, target, BLOCK, BATCH)
     assert [(r["run_id"], r["step"], r["seconds"]) for r in got.collect()] == [(1, 5, 10.0)]
 
 
-def test_late_records_are_reported(spark):
+@pytest.mark.parametrize("by_record", [False, True])
+def test_late_records_are_reported(spark, by_record):
     now = small(spark, event(1, 0, "begin", 1000))
     late = small(spark, event(1, 1, "step", 10, 5, 1.0))
     with pytest.raises(RuntimeError, match="after the watermark"):
-        stream_of(spark, [now, late], "10 seconds")
+        stream_of(spark, [now, late], "10 seconds", by_record)
