@@ -106,6 +106,11 @@ def render_conversations(
     return parts.select(key, "part", text.alias("text"))
 
 
+def keep_present(df: DataFrame, column: str) -> DataFrame:
+    """Rows in which ``column`` has a value."""
+    return df.filter(F.col(column).isNotNull())
+
+
 def project_sequence(df: DataFrame, columns: Sequence[str] = SEQUENCE_COLUMNS) -> DataFrame:
     """Keep the named sequence columns only; by default the labels are not among them."""
     return df.select(*columns)

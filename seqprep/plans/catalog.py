@@ -21,6 +21,7 @@ VOCAB = 8_000
 BLOCK = 256
 LONG_LABEL_BLOCK = 64
 BATCH = 64
+EVAL_BATCH = 16
 EPOCHS = 3
 SEED = 42
 TOKENS_BLOCK = 1_024
@@ -279,19 +280,26 @@ def project_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense.select("doc_id", *[flat(c).alias(c) for c in shaping.SEQUENCE_COLUMNS])
 
 
+PAIR_DATASET = datasets.DatasetSpec(
+    rule=splits.TAIL_DROPPED, append_eos=True, order_by=("conv_id", "turn")
+)
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = storage.write_new(inputs.pairs(spark, sf_dir), "pairs")
+    registry = {"pairs": PAIR_DATASET}
+    return prepare.prepare_dataset(
+        spark, "pairs", path, ["conv_id", "turn"], BLOCK, VOCAB, registry=registry
+    )
+
+
 @query
 def prepared_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations to training sequences: pairs, chat text, split, ids, masks, labels."""
-    text = prepare.training_text(F.col("instruction"), F.col("response"), eos=vocab.EOS)
-    rendered = inputs.pairs(spark, sf_dir).select("conv_id", "turn", text.alias("text"))
-    rows = storage.written(rendered, "pairs")
-    split = splits.with_split(rows, splits.TAIL_DROPPED, ["conv_id", "turn"])
-    marks = prepare.text_marks()
-    specials = (*vocab.SPECIALS, *[m for m in marks if m not in vocab.SPECIALS])
-    words = vocab.build_vocab(split, "text", VOCAB, specials, marks)
-    out = prepare.prepare_sequences(split, ["conv_id", "turn"], words, BLOCK, marks=marks)
+    """Conversations to training sequences: pairs, split, chat text, ids, masks, labels."""
     arrays = ("input_ids", "attention_mask", "labels", "position_ids")
-    return out.select("conv_id", "turn", "split", *[flat(c).alias(c) for c in arrays])
+    return _prepared(spark, sf_dir).select(
+        "conv_id", "turn", "split", *[flat(c).alias(c) for c in arrays]
+    )
 
 
 # --- epochs, batches ------------------------------------------------------------------------
@@ -339,6 +347,23 @@ def train_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.train_steps(inputs.table(spark, sf_dir, "documents"), BATCH, EPOCHS)
 
 
+@query
+def eval_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation split in its own order, full batches only."""
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id")
+    rows = splits.split_by_rule(docs, splits.FRONT_VALIDATION, ["doc_id"])["validation"]
+    return batching.assign_batches(rows, ["doc_id"], EVAL_BATCH)
+
+
+@query
+def training_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared sequences of the train split, shuffled into full batches per epoch."""
+    train = _prepared(spark, sf_dir).filter(F.col("split") == "train")
+    batched = batching.assign_epoch_batches(train, ["conv_id", "turn"], EVAL_BATCH, EPOCHS, SEED)
+    keys = batched.select("conv_id", "turn", "epoch", "batch_id", "slot", "step", "input_ids")
+    return keys.withColumn("input_ids", flat("input_ids"))
+
+
 # --- run reports ----------------------------------------------------------------------------
 
 
@@ -352,6 +377,13 @@ def logged_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logged.select("run_id", "seq", "step", "loss")
 
 
+@query
+def present_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that have a loss at all."""
+    found = shaping.keep_present(inputs.run_events(spark, sf_dir), "loss")
+    return found.select("run_id", "seq", "loss")
+
+
 @query
 def interval_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each run has the batch size of its parameter set."""
@@ -456,10 +488,9 @@ def _streamed(spark: SparkSession, sf_dir: str, by_record: bool = False) -> str:
     The whole event table is read as a stream of files in no order of time. A last event far in
     the future, of no run, moves the watermark past everything else.
     """
-    events = inputs.run_events(spark, sf_dir)
-    source = storage.scratch_path(spark, "stream")
+    source = storage.write_new(inputs.run_events(spark, sf_dir), "stream")
     target = storage.scratch_path(spark, "intervals")
-    events.write.parquet(source)
+    events = spark.read.parquet(source)
     shape = events.schema
 
     def run_to_end() -> None:

@@ -6,6 +6,7 @@ from seqprep.plans.catalog import (
     BATCH,
     BLOCK,
     EPOCHS,
+    EVAL_BATCH,
     LOG_STEPS,
     LONG_LABEL_BLOCK,
     NO_LOG_STEPS,
@@ -166,11 +167,13 @@ ORACLE_SQL["project_sequence"] = f"""
 
 _MARKS = ["<pad>", "<unk>", "</s>", "<reserved_102>", "<reserved_103>"]
 _MARKED_TOKEN = "<reserved_102>|<reserved_103>|</s>|" + _TOKEN
-ORACLE_SQL["prepared_sequences"] = f"""
+_PREPARED = f"""
 WITH {_PAIRS}, {_PLACED.format(key="conv_id, turn", table="pairs")},
 texts AS (SELECT conv_id, turn, {_MIDDLE} AS split, {_PAIR_TEXT} AS text
           FROM placed WHERE pos < {_bound(95)}),
-{_ids("texts", "conv_id, turn, split", _MARKED_TOKEN, _MARKS, BLOCK)}
+{_ids("texts", "conv_id, turn, split", _MARKED_TOKEN, _MARKS, BLOCK)}"""
+ORACLE_SQL["prepared_sequences"] = f"""
+{_PREPARED}
 SELECT conv_id, turn, split, {_flat(f"list_resize(ids, {BLOCK}, 0)")} AS input_ids,
   {_flat(_ones(BLOCK))} AS attention_mask, {_flat(f"list_resize(ids, {BLOCK}, 0)")} AS labels,
   {_POSITIONS} AS position_ids
@@ -206,6 +209,25 @@ ORACLE_SQL["train_steps"] = f"""
 SELECT count(*) AS rows, count(*) // {BATCH} AS batches, count(*) // {BATCH} * {EPOCHS} AS steps
 FROM documents"""
 
+ORACLE_SQL["eval_batches"] = f"""
+{_DOCS} SELECT doc_id, pos // {EVAL_BATCH} AS batch_id, pos % {EVAL_BATCH} AS slot
+FROM placed
+WHERE pos < {_bound(5)} AND pos // {EVAL_BATCH} < {_bound(5)}::BIGINT // {EVAL_BATCH}"""
+ORACLE_SQL["training_batches"] = f"""
+{_PREPARED},
+repeated AS (
+  SELECT conv_id, turn, epoch, ids FROM encoded, range({EPOCHS}) AS r(epoch)
+  WHERE split = 'train'),
+shuffled AS (
+  SELECT conv_id, turn, epoch::INT AS epoch, ids, count(*) OVER (PARTITION BY epoch) AS n,
+    row_number() OVER (PARTITION BY epoch ORDER BY
+      md5('{SEED}:' || epoch || ':' || conv_id || ':' || turn), conv_id, turn) - 1 AS pos
+  FROM repeated)
+SELECT conv_id, turn, epoch, pos // {EVAL_BATCH} AS batch_id, pos % {EVAL_BATCH} AS slot,
+  epoch * (n // {EVAL_BATCH}) + pos // {EVAL_BATCH} + 1 AS step,
+  {_flat(f"list_resize(ids, {BLOCK}, 0)")} AS input_ids
+FROM shuffled WHERE pos // {EVAL_BATCH} < n // {EVAL_BATCH}"""
+
 # --- run reports ----------------------------------------------------------------------------
 
 _PRESETS = ", ".join(f"({i}, {row[1]})" for i, row in enumerate(RUN_PARAMETERS))
@@ -291,6 +313,8 @@ FROM measured"""
 ORACLE_SQL["logged_steps"] = f"""
 WITH {_RUNS} SELECT run_id, seq, step, loss FROM runs
 WHERE kind = 'step' AND (step % {LOG_STEPS} = 0 OR step = 1)"""
+ORACLE_SQL["present_loss"] = f"""
+WITH {_RUNS} SELECT run_id, seq, loss FROM runs WHERE loss IS NOT NULL"""
 ORACLE_SQL["interval_throughput"] = _intervals("train_batch")
 ORACLE_SQL["run_summary"] = _summary(LOG_STEPS)
 ORACLE_SQL["run_summary_no_interval"] = _summary(NO_LOG_STEPS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.functions.sequences import copy_labels, length_mask, pad, position_ids
@@ -16,7 +16,8 @@ from seqprep.functions.text import (
     plain_prompt,
     render_chat,
 )
-from seqprep.operators.vocab import EOS, PAD, SPECIALS, encode
+from seqprep.operators.vocab import EOS, PAD, SPECIALS, build_vocab, encode
+from seqprep.sources.datasets import DatasetSpec, dataset_spec, read_dataset
 
 
 def training_text(
@@ -65,3 +66,30 @@ def prepare_sequences(
     encoded = encode(pairs, key, text, vocab, block, marks=marks, name="_ids").drop(text)
     out = add_sequences(encoded, "_ids", block, SPECIALS.index(PAD))
     return out if keep_labels else out.drop("labels")
+
+
+def prepare_dataset(
+    spark: SparkSession,
+    name: str,
+    path: str | Sequence[str],
+    key: Sequence[str],
+    block: int,
+    vocab_size: int,
+    markers: Markers | None = CHAT_MARKERS,
+    registry: dict[str, DatasetSpec] | None = None,
+) -> DataFrame:
+    """A named dataset as training sequences: ``key``, ``split`` and the arrays.
+
+    Split rule, columns, end mark and labels follow the dataset's entry. The vocabulary is that of
+    all rows in a split; the rows are read once for it and once for the sequences, and exchanged in
+    neither.
+    """
+    spec = dataset_spec(name, registry)
+    rows = read_dataset(spark, name, path, registry)
+    eos = EOS if spec.append_eos else None
+    text = training_text(F.col("instruction"), F.col("response"), markers, eos)
+    texts = rows.select(*key, "split", text.alias("text"))
+    marks = text_marks(markers, eos)
+    specials = (*SPECIALS, *[mark for mark in marks if mark not in SPECIALS])
+    vocab = build_vocab(texts, "text", vocab_size, specials, marks)
+    return prepare_sequences(texts, key, vocab, block, "text", marks, spec.keep_labels)

@@ -46,11 +46,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a new parquet table in the shared folder, for several column-pruned passes."""
+def write_new(df: DataFrame, label: str) -> str:
+    """Write ``df`` as a new parquet table in the shared folder; its path."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` read back from a new table, for several column-pruned passes."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_new(df, label))
 
 
 def fingerprint(df: DataFrame, **parameters: object) -> str:
