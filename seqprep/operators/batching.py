@@ -70,8 +70,8 @@ def epoch_order(
     """Add ``pos``, the 0-based place of a row in its epoch's seeded order, and ``epoch_rows``.
 
     The leading digits of the hash cut an epoch into equal buckets in order; a row's place is the
-    size of the buckets before its own plus its rank inside. There are ``16**bucket_digits`` bucket
-    sizes per epoch, counted before the exchange.
+    size of the buckets before its own plus its rank inside. The bucket sizes are counted before
+    the exchange and broadcast: there are at most ``16**bucket_digits`` (4,096) of them per epoch.
     """
     key = list(key)
     hashed = df.withColumn("_hash", shuffle_hash(key, seed)).withColumn(
@@ -92,7 +92,7 @@ def epoch_order(
     rank = F.row_number().over(Window.partitionBy("epoch", "_bucket").orderBy("_hash", *key))
     return (
         hashed.withColumn("_rank", rank - 1)
-        .join(sizes, ["epoch", "_bucket"])
+        .join(F.broadcast(sizes), ["epoch", "_bucket"])
         .withColumn("pos", F.col("_before") + F.col("_rank"))
         .drop("_hash", "_bucket", "_rank", "_before")
     )

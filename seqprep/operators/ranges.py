@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 250_000
+ROWS_PER_RANGE = 50_000
 MAX_RANGES = 16_384
 LAST_STEP_ROWS = 100_000
 
@@ -208,15 +208,18 @@ def neighbour(
     group, order, values = list(group), list(order), list(values)
     ranged = df.withColumn("_range", range_id(df, ranges))
     window = Window.partitionBy(*group, "_range").orderBy(*order)
-    payload = F.struct(*values)
-    shift = F.lag(payload, 1) if step < 0 else F.lead(payload, 1)
-    out = ranged.withColumn(name, shift.over(window))
+    shift = F.lag if step < 0 else F.lead
+    # Column by column: a struct would travel through the exchange next to its own fields.
+    beside = {f"_beside_{c}": shift(c).over(window) for c in values}
+    out = ranged.withColumns(beside | {"_found": shift(F.lit(True), 1, False).over(window)})
+    found = F.when(F.col("_found"), F.struct(*[F.col(f"_beside_{c}").alias(c) for c in values]))
+    out = out.withColumn(name, found).drop("_found", *beside)
     if ranges.size == 1:
         return out.drop("_range")
     edges = _key_array(ranges.last if step < 0 else ranges.first, ranges.key_type)
     at_edge = order_struct(df, ranges.keys) == F.get(edges, F.col("_range"))
     carried = ranged.filter(at_edge).select(
-        *group, (F.col("_range") - step).alias("_range"), payload.alias("_carried")
+        *group, (F.col("_range") - step).alias("_range"), F.struct(*values).alias("_carried")
     )
     return (
         out.join(carried, [*group, "_range"], "left")

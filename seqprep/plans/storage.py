@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Bytes a scan task reads by default.
 TASK_BYTES = 128 * 1024 * 1024
@@ -58,9 +59,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_new(df, label))
 
 
-def fingerprint(df: DataFrame, **parameters: object) -> str:
-    """Name of a materialised table: its input files and the parameters that shaped it."""
-    content = json.dumps([sorted(df.inputFiles()), sorted(parameters.items())], default=str)
+def fingerprint(source: DataFrame, **parameters: object) -> str:
+    """Name of a materialised table: its source files and the parameters that shaped it.
+
+    ``source`` is a table read from files. Names, sizes and times of its files are combined by
+    Spark into one number, in any order.
+    """
+    file = F.xxhash64(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+    )
+    files = source.select(file.alias("file")).distinct()
+    digest = files.agg(F.count("*"), F.sum(F.col("file").cast("decimal(38,0)"))).first()
+    content = json.dumps([[str(part) for part in digest], sorted(parameters.items())], default=str)
     return hashlib.sha256(content.encode()).hexdigest()[:32]
 
 

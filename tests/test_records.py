@@ -170,6 +170,14 @@ def test_fingerprint_depends_on_files_and_parameters(spark, sf_dir):
     assert storage.fingerprint(docs, n=1) in names
 
 
+def test_fingerprint_changes_with_the_content_of_a_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    before = storage.fingerprint(spark.read.parquet(path))
+    spark.range(5, 9).write.mode("append").parquet(path)
+    assert storage.fingerprint(spark.read.parquet(path)) != before
+
+
 def test_shared_folder_is_the_named_one(spark):
     assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert storage.scratch_path(spark, "x").startswith(storage.shared_dir(spark))
