@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Rows of a range: whole rows, and rows of a few numbers.
 ROWS_PER_RANGE = 50_000
+NARROW_ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 16_384
 LAST_STEP_ROWS = 100_000
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions.scalars import rest_of_day, seconds, whole_days
-from seqprep.operators.ranges import ROWS_PER_RANGE, key_ranges, neighbour
+from seqprep.operators.ranges import NARROW_ROWS_PER_RANGE, key_ranges, neighbour
 from seqprep.operators.shaping import require_columns
 
 EVENT_SCHEMA = {
@@ -62,7 +62,7 @@ def tokens_per_second(block: Number, batch: Number, steps: Column, elapsed: Colu
 
 
 def clock_intervals(
-    events: DataFrame, logging_steps: Number, rows_per_range: int = ROWS_PER_RANGE
+    events: DataFrame, logging_steps: Number, rows_per_range: int = NARROW_ROWS_PER_RANGE
 ) -> DataFrame:
     """Clock records with the time and step of the clock record before them in their run.
 
@@ -90,7 +90,7 @@ def interval_throughput(
     block: Number,
     batch: Number,
     logging_steps: Number,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int = NARROW_ROWS_PER_RANGE,
 ) -> DataFrame:
     """One row per logged step with a loss: what was done since the clock record before it."""
     timed = clock_intervals(events, logging_steps, rows_per_range).filter(is_interval())
@@ -104,7 +104,7 @@ def run_summary(
     block: int,
     batch: Number,
     logging_steps: Number,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int = NARROW_ROWS_PER_RANGE,
 ) -> DataFrame:
     """One row per run: mean throughput, mean seconds per step, and durations.
 

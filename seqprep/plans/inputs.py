@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.operators.ranges import ROWS_PER_RANGE, key_ranges, running_sum
+from seqprep.operators.ranges import NARROW_ROWS_PER_RANGE, key_ranges, running_sum
 from seqprep.operators.shaping import instruction_pairs
 from seqprep.plans.run_parameters import RUN_PARAMETERS, run_parameters
 from seqprep.plans.storage import read_spread
@@ -32,7 +32,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_events(
-    spark: SparkSession, sf_dir: str, rows_per_range: int = ROWS_PER_RANGE
+    spark: SparkSession, sf_dir: str, rows_per_range: int = NARROW_ROWS_PER_RANGE
 ) -> DataFrame:
     """The event table as training events: a user is a run, a value is a loss.
 

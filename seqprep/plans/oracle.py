@@ -304,9 +304,8 @@ def _summary(logging_steps: int) -> str:
     return f"""
 {_measured(logging_steps, "train_batch")}
 SELECT run_id, intervals, round(avg_tps, 6) AS avg_tps,
-  round(avg_step_seconds, 6) AS avg_step_seconds, round(warm_up_seconds, 6) AS warm_up_seconds,
-  round(train_seconds, 6) AS train_seconds, round(eval_seconds, 6) AS eval_seconds,
-  round(train_seconds + warm_up_seconds + eval_seconds, 6) AS total_seconds
+  avg_step_seconds, warm_up_seconds, train_seconds, eval_seconds,
+  train_seconds + warm_up_seconds + eval_seconds AS total_seconds
 FROM measured"""
 
 
@@ -323,8 +322,8 @@ ORACLE_SQL["run_eta"] = f"""
 estimated AS (
   SELECT run_id, warm_up_seconds + avg_step_seconds * ({RUN_STEPS} - 1) + warm_up_seconds
     + {EPOCHS} * eval_seconds AS s FROM measured)
-SELECT run_id, round(s, 6) AS estimated_seconds, floor(s / 86400)::BIGINT AS estimated_days,
-  round(s - floor(s / 86400) * 86400, 6) AS estimated_rest_seconds FROM estimated"""
+SELECT run_id, s AS estimated_seconds, floor(s / 86400)::BIGINT AS estimated_days,
+  s - floor(s / 86400) * 86400 AS estimated_rest_seconds FROM estimated"""
 ORACLE_SQL["run_log_roundtrip"] = f"""
 WITH {_RUNS}, {_timed(LOG_STEPS, "train_batch")},
 started AS (SELECT run_id, ts FROM runs WHERE kind = 'begin'),
@@ -342,8 +341,7 @@ ORACLE_SQL["stream_throughput_by_record"] = ORACLE_SQL["stream_throughput"]
 ORACLE_SQL["stream_summary"] = f"""
 WITH {_RUNS}, {_timed(LOG_STEPS, str(BATCH))}
 SELECT run_id, count(*) AS intervals, round(avg(tps), 6) AS avg_tps,
-  round((sum(span) / 1e6) / nullif((count(*) * {LOG_STEPS} - 1)::DOUBLE, 0), 6)
-    AS avg_step_seconds
+  (sum(span) / 1e6) / nullif((count(*) * {LOG_STEPS} - 1)::DOUBLE, 0) AS avg_step_seconds
 FROM intervals GROUP BY run_id"""
 
 # --- aggregates, records --------------------------------------------------------------------

@@ -18,7 +18,8 @@ FILE, ROW = "source_file", "source_row"
 class DatasetSpec:
     """How to read a dataset. Without a split rule it is used as published.
 
-    Without an order key rows are ordered as they lie in their (parquet) files.
+    Without an order key rows are ordered as they lie in their (parquet) files. A ``schema`` saves
+    the pass over the data that finds out the types of JSON or CSV files.
     """
 
     instruction: str = "instruction"
@@ -28,6 +29,7 @@ class DatasetSpec:
     keep_labels: bool = True
     format: str = "parquet"
     order_by: Sequence[str] = ()
+    schema: str | None = None
 
 
 # Dataset names with their columns and split rules; any other name uses the default.
@@ -52,6 +54,7 @@ def dataset_spec(name: str, registry: dict[str, DatasetSpec] | None = None) -> D
 def read_rows(spark: SparkSession, spec: DatasetSpec, path: str | Sequence[str]) -> DataFrame:
     """The dataset's rows with their order key: its own, or file name and row number."""
     reader = spark.read.option("header", "true") if spec.format == "csv" else spark.read
+    reader = reader.schema(spec.schema) if spec.schema else reader
     paths = [path] if isinstance(path, str) else list(path)
     rows = reader.format(spec.format).load(paths)
     if spec.order_by or spec.rule is None:

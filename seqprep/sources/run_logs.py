@@ -28,7 +28,7 @@ ELAPSED_PATTERN = r"(?:(-?\d+) days?, )?(\d+):(\d{2}):(\d{2}(?:\.\d+)?)"
 # Numbers of lines of one run that go to one file.
 LINES_PER_FILE = 1_000_000
 
-LOG_NAME_PATTERN = r"(\d{6}_\d{6})\.log"
+LOG_NAME_PATTERN = r"([^/=]*?)_?(\d{6}_\d{6})\.log"
 
 
 def step_line() -> Column:
@@ -74,36 +74,38 @@ def summary_lines(epochs: int) -> Column:
     )
 
 
-def log_file_name(started: Column) -> Column:
-    return F.concat(F.date_format(started, LOG_NAME_TIME), F.lit(".log"))
+def log_file_name(run: Column, started: Column) -> Column:
+    """``<run>_<time>.log``: runs of one place may start in the same second."""
+    return F.concat(run, F.lit("_"), F.date_format(started, LOG_NAME_TIME), F.lit(".log"))
 
 
 def write_run_logs(lines: DataFrame, path: str, lines_per_file: int = LINES_PER_FILE) -> None:
-    """Write ``(run_id, started, ord, line)`` as one log folder per run and start time.
+    """Write ``(run_id, started, ord, line)`` as one log folder per run.
 
     ``ord`` numbers the lines of a run. A run's log is one file up to ``lines_per_file`` numbers;
     a longer run is written by as many tasks as it has such pieces. Many runs mean many small
     files, so the number of writing tasks is kept even where the lines themselves are few.
     """
     piece = F.floor(F.col("ord") / F.lit(lines_per_file))
-    named = lines.select("run_id", log_file_name(F.col("started")).alias("log"), "ord", "line")
+    name = log_file_name(F.col("run_id").cast("string"), F.col("started"))
+    named = lines.select(name.alias("log"), "ord", "line")
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = named.repartition(tasks, "run_id", "log", piece)
-    ordered = placed.sortWithinPartitions("run_id", "log", "ord").drop("ord")
-    ordered.write.mode("overwrite").partitionBy("run_id", "log").text(path)
+    placed = named.repartition(tasks, "log", piece)
+    ordered = placed.sortWithinPartitions("log", "ord").drop("ord")
+    ordered.write.mode("overwrite").partitionBy("log").text(path)
 
 
 def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     """Typed records of all log lines under ``path``; lines of no known form are left out.
 
-    ``started`` comes from the log's name. Columns that the folder layout adds (``run_id=...``)
-    are kept. ``kind`` is step, summary or mark; an estimate is returned in seconds.
+    ``run`` and ``started`` come from the log's name, ``<run>_<time>.log`` or ``<time>.log``.
+    ``kind`` is step, summary or mark; an estimate is returned in seconds.
     """
     raw = spark.read.text(path)
-    extra = [c for c in raw.columns if c not in ("value", "log")]
     line = F.col("line")
-    name = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 1)
-    lines = raw.select(*extra, F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"))
+    time = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 2)
+    run = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 1)
+    lines = raw.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"))
 
     def part(pattern: str, group: int) -> Column:
         return F.nullif(F.regexp_extract(line, pattern, group), F.lit(""))
@@ -127,9 +129,9 @@ def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     plain_value = number(F.substring_index(part(SUMMARY_PATTERN, 2), " ", 1))
     typed = lines.withColumn("kind", kind).filter(F.col("kind").isNotNull())
     return typed.select(
-        *extra,
-        name.alias("log"),
-        log_name_time(name).alias("started"),
+        F.nullif(run, F.lit("")).alias("run"),
+        time.alias("log"),
+        log_name_time(time).alias("started"),
         "kind",
         part(STEP_PATTERN, 1).try_cast("bigint").alias("step"),
         number(part(STEP_PATTERN, 2)).alias("tps"),
