@@ -49,9 +49,10 @@ def log_name_time(name: Column) -> Column:
     return F.try_to_timestamp(name, F.lit(LOG_NAME_TIME))
 
 
-def local_time(moment: Column, zone: str) -> Column:
-    """A UTC moment as wall-clock time in a named zone."""
-    return F.from_utc_timestamp(moment, zone)
+def local_time(moment: Column, zone: str, source: str | None = None) -> Column:
+    """Wall-clock time in a named zone; ``source`` is the zone of a timestamp that has none."""
+    written = F.lit(source) if source else None
+    return F.convert_timezone(written, F.lit(zone), moment.cast("timestamp_ntz"))
 
 
 def fixed_text(value: Column, digits: int) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from seqprep.operators.ranges import ROWS_PER_RANGE, key_ranges, with_position
 
-# Leading hex digits of the shuffle hash that name a bucket: 16**3 = 4,096 per epoch.
-BUCKET_DIGITS = 3
+# Leading hex digits of the shuffle hash that name a bucket: 16**4 = 65,536 per epoch.
+BUCKET_DIGITS = 4
 
 
 def assign_batches(
@@ -71,7 +71,7 @@ def epoch_order(
 
     The leading digits of the hash cut an epoch into equal buckets in order; a row's place is the
     size of the buckets before its own plus its rank inside. The bucket sizes are counted before
-    the exchange and broadcast: there are at most ``16**bucket_digits`` (4,096) of them per epoch.
+    the exchange and broadcast: there are at most ``16**bucket_digits`` (65,536) of them per epoch.
     """
     key = list(key)
     hashed = df.withColumn("_hash", shuffle_hash(key, seed)).withColumn(

@@ -6,7 +6,8 @@ A range is a set of key *values*, so a row's range never depends on how a task w
 recomputed. Work inside a range is an ordinary window; what crosses a border is carried over by at
 most one row per range.
 
-Order keys must be unique: without that a row has no defined position.
+Order keys must be unique: without that a row has no defined position. Group columns must not be
+NULL.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from pyspark.sql import types as T
 ROWS_PER_RANGE = 50_000
 NARROW_ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 16_384
+# Tasks that read the key columns: each takes many small pieces of a large table, so that the
+# exchange into ranges does not grow with the square of the table.
+SCAN_TASKS = 8_192
 LAST_STEP_ROWS = 100_000
 
 
@@ -79,7 +83,7 @@ def _key_array(rows: Sequence[Row], key_type: T.StructType) -> Column:
 
 def _scan(df: DataFrame, keys: Sequence[str], pieces: int) -> list[Row]:
     """First key, last key and row count of ``pieces`` contiguous ranges, in order."""
-    narrow = df.select(order_struct(df, keys).alias("key"))
+    narrow = df.select(order_struct(df, keys).alias("key")).coalesce(SCAN_TASKS)
     placed = narrow.repartitionByRange(pieces, "key").withColumn("piece", F.spark_partition_id())
     found = (
         placed.groupBy("piece")

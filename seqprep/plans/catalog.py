@@ -173,7 +173,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.array(F.col("event_id") + 1, F.col("user_id") + 1, F.lit(2).cast("bigint"))
     name = F.date_format(ts, scalars.LOG_NAME_TIME)
     again = scalars.log_name_time(name)
-    seoul = scalars.local_time(F.to_utc_timestamp(ts, F.current_timezone()), "Asia/Seoul")
+    seoul = scalars.local_time(F.col("ts"), "Asia/Seoul", source="UTC")
     return events.select(
         "event_id",
         F.round(since, 3).alias("since"),

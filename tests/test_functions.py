@@ -121,6 +121,14 @@ def test_pad_id_falls_back_to_eos(spark):
     assert value(spark, sequences.pad_id_or_eos(0, 2)) == 0
 
 
+def test_local_time(spark):
+    noon = F.lit("2024-01-01 12:00:00")
+    moment = noon.cast("timestamp")
+    assert value(spark, scalars.local_time(moment, "Asia/Seoul")) == dt.datetime(2024, 1, 1, 21)
+    naive = noon.cast("timestamp_ntz")
+    assert value(spark, scalars.local_time(naive, "Asia/Seoul", "Asia/Tokyo")) == dt.datetime(2024, 1, 1, 12)
+
+
 def test_scalars(spark):
     assert value(spark, scalars.element_count(ids(3, 4, 5))) == 60
     assert value(spark, scalars.element_count(ids())) == 1

@@ -150,6 +150,14 @@ def test_batches_are_full(spark, per_range):
     assert whole.count() == 100
 
 
+def test_batches_of_many_rows_use_many_tasks(spark):
+    table = spark.range(1000).repartition(4)
+    got = batching.assign_batches(table, ["id"], 8, rows_per_range=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert "Exchange hashpartitioning(_range" in plan
+
+
 def test_ten_rows_in_batches_of_four(spark):
     got = batching.assign_batches(spark.range(10), ["id"], 4)
     assert got.count() == 8
