@@ -83,7 +83,8 @@ def _key_array(rows: Sequence[Row], key_type: T.StructType) -> Column:
 
 def _scan(df: DataFrame, keys: Sequence[str], pieces: int) -> list[Row]:
     """First key, last key and row count of ``pieces`` contiguous ranges, in order."""
-    narrow = df.select(order_struct(df, keys).alias("key")).coalesce(SCAN_TASKS)
+    scanned = df.select(*keys).coalesce(SCAN_TASKS)
+    narrow = scanned.select(order_struct(df, keys).alias("key"))
     placed = narrow.repartitionByRange(pieces, "key").withColumn("piece", F.spark_partition_id())
     found = (
         placed.groupBy("piece")

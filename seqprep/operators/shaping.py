@@ -77,7 +77,7 @@ def ordered_parts(
             turns = turns.unionByName(marks)
     item = F.when(F.col("_piece").isNotNull(), F.struct("_turn", "_piece"))
     return turns.groupBy(key, "part").agg(
-        F.array_sort(F.collect_list(item)).alias("_items"),
+        F.sort_array(F.collect_list(item)).alias("_items"),
         F.bool_or("_first").alias("_first"),
         F.bool_or("_last").alias("_last"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seqprep.functions.sequences import truncate
 
 # Fixed value: a token is a run of ASCII letters and digits, or any other single non-space sign.
-TOKEN_PATTERN = r"[a-z0-9]+|[^a-z0-9\s]"
+TOKEN_PATTERN = r"[a-z0-9]++|[^a-z0-9\s]"
 
 PAD, UNK, EOS = "<pad>", "<unk>", "</s>"
 SPECIALS = (PAD, UNK, EOS)
@@ -22,11 +22,39 @@ INLINE_ROWS = 32_768
 BROADCAST_ROWS = 1_000_000
 TOKEN_SALTS = 64
 
+# A word of more bytes is counted as its tokens.
+LONG_WORD_BYTES = 32
+
+
+def _tokens(lowered: Column, marks: Sequence[str]) -> Column:
+    pattern = "|".join([*(re.escape(m.lower()) for m in marks), TOKEN_PATTERN])
+    return F.regexp_extract_all(lowered, F.lit(pattern), F.lit(0))
+
 
 def tokens_of(text: Column, marks: Sequence[str] = ()) -> Column:
     """Lower-cased tokens of the whole text; each of ``marks`` is one token where it occurs."""
-    pattern = "|".join([*(re.escape(m.lower()) for m in marks), TOKEN_PATTERN])
-    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    return _tokens(F.lower(text), marks)
+
+
+def count_tokens(df: DataFrame, text: str, marks: Sequence[str] = ()) -> DataFrame:
+    """``(tok, n)`` over all texts.
+
+    No token holds a space, so words are counted first and each distinct word is taken apart once;
+    that is several times less pattern matching. A long word, such as a line of a script without
+    spaces, is taken apart at once and counted as its tokens, so that what is exchanged stays
+    short. Both counts are combined before their exchange: a token that makes up a third of the
+    corpus costs one row per task.
+    """
+    if any(re.search(r"\s", mark) for mark in marks):
+        raise ValueError("a mark must not hold a space")
+    words = df.select(F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias("word"))
+    long = F.octet_length("word") > LONG_WORD_BYTES
+    pieces = F.when(long, _tokens(F.col("word"), marks)).otherwise(F.array("word"))
+    counted = words.select(F.explode(pieces).alias("word")).groupBy("word").agg(
+        F.count("*").alias("n")
+    )
+    tokens = counted.select(F.explode(_tokens(F.col("word"), marks)).alias("tok"), "n")
+    return tokens.groupBy("tok").agg(F.sum("n").alias("n"))
 
 
 def build_vocab(
@@ -38,14 +66,9 @@ def build_vocab(
 ) -> DataFrame:
     """``(tok, id)``: the specials, then the ``size`` most frequent tokens, ties by token.
 
-    Tokens are counted before the exchange, so a token that makes up a third of the corpus costs one
-    row per task. The numbering sees at most ``size`` rows.
+    The numbering sees at most ``size`` rows.
     """
-    counted = (
-        df.select(F.explode(tokens_of(F.col(text), marks)).alias("tok"))
-        .groupBy("tok")
-        .agg(F.count("*").alias("n"))
-    )
+    counted = count_tokens(df, text, marks)
     if specials:
         counted = counted.filter(~F.col("tok").isin(*specials))
     top = counted.orderBy(F.desc("n"), "tok").limit(size)
@@ -135,6 +158,6 @@ def encode_by_join(
         ).join(table.withColumn("_salt", F.explode(salts)), ["tok", "_salt"], "left")
     item = F.struct("_i", F.coalesce("id", F.lit(unk_id).cast("bigint")).alias("id"))
     grouped = found.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_i").isNotNull(), item))).alias("_items")
+        F.sort_array(F.collect_list(F.when(F.col("_i").isNotNull(), item))).alias("_items")
     )
     return placed.join(grouped.select(*key, F.col("_items.id").alias(name)), key, "left")

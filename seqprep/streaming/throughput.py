@@ -95,7 +95,7 @@ def clock_stream(
     windowed aggregation.
     """
     clock = _clock_records(events, logging_steps, delay)
-    records = F.array_sort(F.collect_list(F.struct(*FIELDS)))
+    records = F.sort_array(F.collect_list(F.struct(*FIELDS)))
     spans = clock.groupBy("run_id", F.window("ts", f"{span_seconds} seconds")).agg(
         records.alias("_records")
     )

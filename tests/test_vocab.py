@@ -47,6 +47,19 @@ def test_vocab_of_marked_text(spark, docs):
     assert "<" not in found
 
 
+def test_counts_of_long_words_and_odd_spaces(spark):
+    texts = ["  lead\tand\x0btrail \n", "a" * 50 + " a", "\u4e00\u4e8c\u4e00" * 20, "x.y,z" * 9 + "\xa0q</s>" * 3, " "]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for marks in ((), ("</s>",)):
+        got = {r["tok"]: r["n"] for r in vocab.count_tokens(rows, "text", marks).collect()}
+        assert got == Counter(t for text in texts for t in tokens(text, marks))
+
+
+def test_a_mark_with_a_space_is_refused(spark, docs):
+    with pytest.raises(ValueError, match="space"):
+        vocab.count_tokens(docs, "text", ("a b",))
+
+
 WAYS = {
     "inline": {},
     "broadcast": {"inline_rows": 0},
@@ -102,5 +115,5 @@ def test_sequences_without_labels(spark, docs):
 
 def test_counting_combines_before_the_exchange(spark, docs):
     plan = vocab.build_vocab(docs, "text", 5)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in plan
+    assert "partial_count" in plan and "partial_sum" in plan
     assert docs.select(F.size(vocab.tokens_of(F.col("text")))).count() == len(TEXTS)
