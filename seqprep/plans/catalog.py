@@ -176,9 +176,9 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     seoul = scalars.local_time(F.col("ts"), "Asia/Seoul", source="UTC")
     return events.select(
         "event_id",
-        F.round(since, 3).alias("since"),
+        since.alias("since"),
         scalars.whole_days(since).alias("days"),
-        F.round(scalars.rest_of_day(since), 3).alias("rest"),
+        scalars.rest_of_day(since).alias("rest"),
         scalars.element_count(shape).alias("elements"),
         texts.last_part(F.col("props"), ":").alias("last_part"),
         F.date_format(again, "yyyy-MM-dd HH:mm:ss").alias("named_time"),

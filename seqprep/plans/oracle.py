@@ -91,8 +91,8 @@ SELECT doc_id, length(text)::BIGINT AS chars,
 ORACLE_SQL["scalar_functions"] = """
 WITH timed AS (
   SELECT *, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 AS since FROM events)
-SELECT event_id, round(since, 3) AS since, floor(since / 86400)::BIGINT AS days,
-  round(since - floor(since / 86400) * 86400, 3) AS rest,
+SELECT event_id, since, floor(since / 86400)::BIGINT AS days,
+  since - floor(since / 86400) * 86400 AS rest,
   (event_id + 1) * (user_id + 1) * 2 AS elements,
   string_split(props, ':')[-1] AS last_part,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS named_time,
