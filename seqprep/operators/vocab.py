@@ -97,12 +97,13 @@ def encode(
     """Add the ids of the first ``max_len`` tokens of ``text``; unknown tokens get ``unk_id``.
 
     The size of the vocabulary is checked. Up to ``inline_rows`` it becomes a constant hash table
-    in the projection: no exchange at all. A larger one is joined token by token (see
-    :func:`encode_by_join`), for which ``key`` must identify a row.
+    in the projection: no exchange at all (0 rules this way out without a look). A larger one is
+    joined token by token (see :func:`encode_by_join`), for which ``key`` must identify a row; it
+    is read more than once, so pass one that is written down or checkpointed.
     """
     hashed = vocab.select("tok", "id", F.xxhash64("tok").alias("hash"))
-    entries = hashed.limit(inline_rows + 1).collect()
-    if len(entries) > inline_rows:
+    entries = hashed.limit(inline_rows + 1).collect() if inline_rows else None
+    if entries is None or len(entries) > inline_rows:
         return encode_by_join(df, key, text, vocab, max_len, unk_id, marks, name, broadcast_rows)
     tokens = truncate(tokens_of(F.col(text), marks), max_len)
     return df.withColumn(name, _look_up(tokens, entries, unk_id))

@@ -191,7 +191,9 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _encoded(spark: SparkSession, sf_dir: str, block: int, **options: int) -> DataFrame:
     docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
-    words = storage.cut_lineage(vocab.build_vocab(docs, "text", VOCAB))
+    words = vocab.build_vocab(docs, "text", VOCAB)
+    if options:  # a joined vocabulary is read more than once
+        words = storage.cut_lineage(words)
     return vocab.encode(docs, ["doc_id"], "text", words, block, **options).select("doc_id", "ids")
 
 
