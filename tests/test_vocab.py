@@ -48,7 +48,13 @@ def test_vocab_of_marked_text(spark, docs):
 
 
 def test_counts_of_long_words_and_odd_spaces(spark):
-    texts = ["  lead\tand\x0btrail \n", "a" * 50 + " a", "\u4e00\u4e8c\u4e00" * 20, "x.y,z" * 9 + "\xa0q</s>" * 3, " "]
+    texts = [
+        "  lead\tand\x0btrail \n",
+        "a" * 50 + " a",
+        "\u4e00\u4e8c\u4e00" * 20,
+        "x.y,z" * 9 + "\xa0q</s>" * 3,
+        " ",
+    ]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
     for marks in ((), ("</s>",)):
         got = {r["tok"]: r["n"] for r in vocab.count_tokens(rows, "text", marks).collect()}
