@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seqprep.llm.decontaminate import decontaminate
+from seqprep.llm.languages import drop_unidentified
 from seqprep.llm.mixture import mixed
 from seqprep.llm.near_dups import drop_near_duplicates
 from seqprep.llm.shards import shards
@@ -12,6 +13,10 @@ from seqprep.plans.inputs import table
 from seqprep.plans.storage import written
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_unidentified(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
@@ -29,6 +34,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language_id),
     ("minhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
     ("source_mixing", mixing),
