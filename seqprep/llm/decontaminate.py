@@ -6,7 +6,7 @@ hashes of the six words on either side; a match of fingerprints is extended over
 13 words or more is a hit. An item of fewer than 13 words is one window; its own fingerprint is its
 whole sequence, looked up at every position of a document.
 
-Fingerprints of documents first pass a bit set of fixed size (``BITS``) made from the benchmark's;
+Fingerprints of documents first pass a bit set of fixed size made from the benchmark's;
 what passes is joined with them. The bit set only saves shuffling: a benchmark of any size gives the
 same result.
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.llm.frames import keep_ids, text_bytes, written
+from seqprep.llm.frames import bit_set, keep_ids, passing, text_bytes, written
 from seqprep.llm.words import PUNCTUATION, grams, minimisers, signed, word_lists
 
 WINDOW = 13
@@ -34,7 +34,6 @@ SPAN = WINDOW - GRAM + 1
 SIDE = WINDOW - GRAM
 #: A document is contaminated from this share of its words, one in so many.
 SHARE = 20
-BITS = 1 << 23
 _SHORT = np.uint64(0x5DEECE66D1234567)
 
 _HIT = "struct<key:bigint, at:int, side:binary>"
@@ -86,22 +85,17 @@ def _of_documents(bits: bytes, lengths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(bits, np.uint8)
 
-        def passing(keys: np.ndarray) -> np.ndarray:
-            place = keys & np.uint64(BITS - 1)
-            bit = np.uint8(1) << (place & np.uint64(7)).astype(np.uint8)
-            return np.flatnonzero(known[(place >> np.uint64(3)).astype(np.int64)] & bit)
-
         for batch in batches:
             counts, hits = [], []
             for words in word_lists(batch.column("_data").to_pylist(), PUNCTUATION):
                 counts.append(len(words))
                 keys, at = _fingerprints(words)
-                found = passing(keys)
+                found = np.flatnonzero(passing(known, keys))
                 pairs = zip(signed(keys[found]).tolist(), at[found].tolist())
                 group = [(k, a, _sides(words, a, GRAM)) for k, a in pairs]
                 for n in lengths:
                     keys = grams(words, n) ^ _SHORT
-                    found = passing(keys)
+                    found = np.flatnonzero(passing(known, keys))
                     group += [(k, a, b"") for k, a in zip(signed(keys[found]).tolist(), found.tolist())]
                 hits.append(group)
             yield pa.RecordBatch.from_arrays(
@@ -145,23 +139,6 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bit_set(items: DataFrame) -> bytes:
-    """One bit per key, gathered from at most ``BITS / 32768`` rows of 4 KB."""
-    # Spark numbers the bits of its bit sets from 1.
-    place = F.col("key").bitwiseAND(F.lit(BITS - 1)) + 1
-    rows = (
-        items.select(place.alias("p"))
-        .groupBy(F.expr("bitmap_bucket_number(p)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits"))
-        .collect()
-    )
-    out = bytearray(BITS // 8)
-    for row in rows:
-        start = (row["bucket"] - 1) * 4096
-        out[start : start + 4096] = row["bits"]
-    return bytes(out)
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs``: its words, hit words, items, their digest and the verdict."""
     items = benchmark.select(
@@ -175,7 +152,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     short = items.filter("item_at < 0").select(F.col("item_at")).distinct().collect()
     lengths = sorted(-row["item_at"] for row in short)
-    run = _of_documents(_bit_set(items), lengths)
+    run = _of_documents(bit_set(items, "key"), lengths)
     found = text_bytes(docs).mapInArrow(run, _DOC).withColumn("_row", F.monotonically_increasing_id())
     found = written(found, "fingerprints")
     hits = found.select("_row", F.explode("hits").alias("hit")).select("_row", "hit.*")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +15,10 @@ from seqprep.plans.storage import written
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_SIGNS = " \t\n\x0b\x0c\r"
 
-__all__ = ["SPACE_SIGNS", "WORD", "id_remainder", "keep_ids", "text_bytes", "written"]
+#: Bits of a set of keys that is broadcast; its size does not depend on the data.
+BITS = 1 << 23
+
+__all__ = ["SPACE_SIGNS", "WORD", "bit_set", "id_remainder", "keep_ids", "likely", "passing", "text_bytes", "written"]
 
 
 def text_bytes(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
@@ -36,3 +43,42 @@ def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     named = ids.select(F.col("doc_id").alias("_kept_id")).distinct()
     same = docs["doc_id"].cast("bigint").eqNullSafe(named["_kept_id"])
     return docs.join(named, same, "left_semi")
+
+
+def bit_set(keys: DataFrame, name: str) -> bytes:
+    """One of ``BITS`` bits per key, by its low bits; gathered as ``BITS / 32768`` rows of 4 KB.
+
+    It only saves shuffling: whatever passes it is joined with the keys.
+    """
+    # Spark numbers the bits of its bit sets from 1.
+    place = F.col(name).bitwiseAND(F.lit(BITS - 1)) + 1
+    rows = (
+        keys.select(place.alias("p"))
+        .groupBy(F.expr("bitmap_bucket_number(p)").alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits"))
+        .collect()
+    )
+    out = bytearray(BITS // 8)
+    for row in rows:
+        start = (row["bucket"] - 1) * 4096
+        out[start : start + 4096] = row["bits"]
+    return bytes(out)
+
+
+def passing(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which 64-bit ``keys`` may be in the set that ``bits`` (bytes) was made from."""
+    place = keys & np.uint64(BITS - 1)
+    bit = np.uint8(1) << (place & np.uint64(7)).astype(np.uint8)
+    return (bits[(place >> np.uint64(3)).astype(np.int64)] & bit) > 0
+
+
+def likely(rows: DataFrame, name: str, bits: bytes) -> DataFrame:
+    """Rows whose long column ``name`` may be in the set, and a few others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            keys = batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            yield batch.filter(pa.array(passing(known, keys)))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.llm.components import components
-from seqprep.llm.frames import keep_ids, text_bytes, written
+from seqprep.llm.frames import bit_set, keep_ids, likely, text_bytes, written
 from seqprep.llm.words import grams, mix, signed, word_lists
 
 SHINGLE = 5
@@ -144,8 +144,13 @@ def _rooted(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _pairs(members: DataFrame, round_: int) -> DataFrame:
-    """Star of each bucket that still holds several components: its hub and the rest."""
-    order = F.struct(F.xxhash64("node", F.lit(round_)) if round_ else F.lit(0), "node", "root", "n")
+    """Star of each bucket that still holds several components: its hub and the rest.
+
+    The first hub is the member with the most company in all its buckets, which lies in the middle
+    of a group of copies; later ones follow a seeded order.
+    """
+    first = F.xxhash64("node", F.lit(round_)) if round_ else -F.col("company")
+    order = F.struct(first.alias("first"), "node", "root", "n")
     hubs = members.groupBy("key").agg(
         F.min(order).alias("_hub"), F.min("root").alias("_low"), F.max("root").alias("_high")
     )
@@ -168,13 +173,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     nodes = written(nodes, "nodes")
     buckets = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
+    shared = buckets.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1")
     members = written(buckets.join(shared, "key"), "buckets")
+    company = members.groupBy("node").agg(F.sum("_n").alias("company"))
+    members = written(members.drop("_n").join(company, "node"), "buckets")
 
     found = nodes.join(members.select("node").distinct(), "node", "left_semi")
     wanted = found.select("node", F.col("_text.doc_id").alias("_id"), F.col("_text._text").alias("_key"))
-    same = data["_text"].eqNullSafe(wanted["_key"]) & data["doc_id"].eqNullSafe(wanted["_id"])
-    texts = written(data.join(wanted, same).select("node", "_data"), "texts")
+    near = likely(data, "_text", bit_set(wanted, "_key"))
+    same = near["_text"].eqNullSafe(wanted["_key"]) & near["doc_id"].eqNullSafe(wanted["_id"])
+    texts = written(near.join(wanted, same).select("node", "_data"), "texts")
 
     roots, tried, round_ = None, None, 0
     while True:

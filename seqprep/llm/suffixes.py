@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.llm.frames import text_bytes, written
+from seqprep.llm.frames import bit_set, likely, text_bytes, written
 from seqprep.llm.words import grams, minimisers, signed, word_lists
 from seqprep.plans.storage import cut_lineage
 
@@ -214,7 +214,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     shared = written(shared.filter("_low <> _high").select(F.col("keys").alias("key"), "first_id"), "shared")
     wanted = rows.join(shared, rows["keys"] == shared["key"]).select("who", "places").distinct()
     wanted = wanted.groupBy("who").agg(F.sort_array(F.collect_list("places")).alias("places"))
-    texts = data.dropDuplicates(["doc_id", "who"]) if _repeats(sampled) else data
+    wanted = written(wanted, "places")
+    texts = likely(data, "who", bit_set(wanted, "who"))
+    texts = texts.dropDuplicates(["doc_id", "who"]) if _repeats(sampled) else texts
     texts = texts.join(wanted.withColumnRenamed("who", "_who"), texts["who"] == F.col("_who")).drop("_who")
     suffixes = texts.select("doc_id", "who", "_data", "places").mapInArrow(_contexts, _CONTEXT)
     suffixes = written(suffixes.withColumn("cid", F.xxhash64("key", "tail", "back")), "contexts")
