@@ -31,7 +31,7 @@ REPEATS = 2
 SEED = 7
 #: Words of a span of finish time, and rows of a run of a source.
 SPAN_WORDS = 1_000_000
-RUN_ROWS = 50_000
+RUN_ROWS = 5_000
 
 
 def sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
