@@ -5,11 +5,12 @@ with one more shard a row stays or moves into the new one. The first pass scatte
 shard over buckets of about ``BUCKET_ROWS`` rows by another seeded hash; the second sorts a bucket's
 rows, shuffles them by Fisher and Yates (inside-out form, draws from a seeded hash of shard, bucket
 and step), and numbers them on from the rows of the buckets before. Every draw depends on data and
-seed alone, so a task that runs again gives the same rows.
+seed alone, so a task that runs again gives the same rows. Only row counts and places are held in
+arrays; the rows themselves are exchanged once and stay rows.
 
 Defined results: a NULL text counts as empty; rows without an id share a shard; repeated rows each
 get a slot. An empty table gives no rows. Carried columns keep their names, except that those named
-as the results are replaced; they must be sortable.
+as the results are replaced.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SEED = 20_240_611
 BUCKET_ROWS = 256
 ROW_BYTES = 8
 
+_SHARD, _BUCKET, _RANK, _TIE = "_to_shard", "_to_bucket", "_rank_in_bucket", "_tie_in_bucket"
+
 
 def shard_of(shards: int, seed: int = SEED) -> Column:
     """The shard of ``doc_id`` among ``shards``."""
@@ -67,33 +70,34 @@ def shards(docs: DataFrame, carry: bool = False, count: int = SHARDS, seed: int
         F.crc32(data).alias("text_crc32"),
         (F.octet_length(data) + ROW_BYTES).cast("bigint").alias("size"),
         *other,
+        F.xxhash64(data, *[F.col(c) for c in other]).alias(_TIE),
     )
     buckets = max(1, math.ceil(docs.count() / (count * BUCKET_ROWS)))
     place = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text_crc32", "size"), F.lit(buckets))
-    item = F.struct("doc_id", "text_crc32", "size", *other)
-    scattered = rows.select(
-        shard_of(count, seed).alias("shard"), place.cast("bigint").alias("bucket"), item.alias("item")
-    )
-    held = scattered.groupBy("shard", "bucket").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    held = written(held, "buckets")
-    sizes = held.select("shard", "bucket", F.size("items").cast("bigint").alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    order = _shuffled(F.size("items"), F.col("shard"), F.col("bucket"), seed)
-    moved = held.withColumn("order", order).join(starts, ["shard", "bucket"])
-    out = moved.select("shard", "start", "items", F.posexplode("order").alias("at", "which"))
-    out = out.select(
-        "shard",
-        (F.col("start") + F.col("at")).cast("bigint").alias("slot"),
-        F.get("items", F.col("which")).alias("item"),
-    )
-    out = out.select(
-        *[F.col("item")[c].alias(c) for c in ["doc_id", *other, "size", "text_crc32"]],
+    scattered = rows.withColumn(_SHARD, shard_of(count, seed)).withColumn(_BUCKET, place)
+    starts = _starts(scattered.select(_SHARD, _BUCKET), seed)
+    inside = Window.partitionBy(_SHARD, _BUCKET).orderBy("doc_id", "text_crc32", "size", _TIE)
+    ranked = scattered.withColumn(_RANK, F.row_number().over(inside) - 1)
+    moved = ranked.join(starts.hint("shuffle_hash"), [_SHARD, _BUCKET])
+    return moved.select(
+        "doc_id",
+        *other,
+        "size",
+        "text_crc32",
         F.lit("key").alias("law"),
-        "shard",
-        "slot",
+        F.col(_SHARD).alias("shard"),
+        (F.col("_start") + F.get("_order", F.col(_RANK))).cast("bigint").alias("slot"),
+        shard_of(count + 1, seed).alias("grown_shard"),
     )
-    return out.withColumn("grown_shard", shard_of(count + 1, seed))
+
+
+def _starts(scattered: DataFrame, seed: int) -> DataFrame:
+    """Of each bucket, the rows of its shard before it and the shuffled places of its own."""
+    sizes = scattered.groupBy(_SHARD, _BUCKET).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(_SHARD).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    order = _shuffled(F.col("n").cast("int"), F.col(_SHARD), F.col(_BUCKET), seed)
+    start = F.coalesce(F.sum("n").over(before), F.lit(0))
+    return written(sizes.select(_SHARD, _BUCKET, start.alias("_start"), order.alias("_order")), "buckets")
 
 
 def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
