@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.llm.frames import bit_set, keep_ids, passing, text_bytes, written
+from seqprep.llm.frames import bit_set, passing, text_bytes, without, written
 from seqprep.llm.words import PUNCTUATION, grams, minimisers, signed, word_lists
 
 WINDOW = 13
@@ -37,7 +37,7 @@ SHARE = 20
 _SHORT = np.uint64(0x5DEECE66D1234567)
 
 _HIT = "struct<key:bigint, at:int, side:binary>"
-_DOC = f"doc_id bigint, n_words bigint, hits array<{_HIT}>"
+_DOC = f"doc_id bigint, _text bigint, n_words bigint, hits array<{_HIT}>"
 _ITEM = f"item_id string, n_words bigint, hits array<{_HIT}>"
 
 
@@ -99,8 +99,8 @@ def _of_documents(bits: bytes, lengths: list[int]):
                     group += [(k, a, b"") for k, a in zip(signed(keys[found]).tolist(), found.tolist())]
                 hits.append(group)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), _struct(hits)],
-                ["doc_id", "n_words", "hits"],
+                [batch.column("doc_id"), batch.column("_text"), pa.array(counts, pa.int64()), _struct(hits)],
+                ["doc_id", "_text", "n_words", "hits"],
             )
 
     return run
@@ -141,6 +141,10 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs``: its words, hit words, items, their digest and the verdict."""
+    return _contamination(docs, benchmark).drop("_text")
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"),
         F.col("text").cast("string").cast("binary").alias("_data"),
@@ -153,7 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     short = items.filter("item_at < 0").select(F.col("item_at")).distinct().collect()
     lengths = sorted(-row["item_at"] for row in short)
     run = _of_documents(bit_set(items, "key"), lengths)
-    found = text_bytes(docs).mapInArrow(run, _DOC).withColumn("_row", F.monotonically_increasing_id())
+    found = text_bytes(docs, F.xxhash64(F.col("text").cast("string")).alias("_text")).mapInArrow(run, _DOC).withColumn("_row", F.monotonically_increasing_id())
     found = written(found, "fingerprints")
     hits = found.select("_row", F.explode("hits").alias("hit")).select("_row", "hit.*")
     spans = written(
@@ -171,10 +175,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_set(F.struct("low", "high"))).alias("_spans"))
         .select("_row", _covered(F.col("_spans")).alias("n_hit"))
     )
-    out = found.select("_row", "doc_id", "n_words").join(covered, "_row", "left").join(listed, "_row", "left")
+    out = found.drop("hits").join(covered, "_row", "left").join(listed, "_row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     return out.select(
         "doc_id",
+        "_text",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
@@ -196,7 +201,9 @@ def _covered(spans):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated; columns as they were. Rows of one id go together."""
-    found = contamination(docs, benchmark)
-    bad = found.groupBy("doc_id").agg(F.max("contaminated").alias("bad")).filter("not bad")
-    return keep_ids(docs, bad.select("doc_id"))
+    """``docs`` without the contaminated; columns as they were.
+
+    Their keys are few, so Spark broadcasts them unless their size says otherwise.
+    """
+    found = _contamination(docs, benchmark).filter("contaminated").select("doc_id", "_text")
+    return without(docs, written(found.distinct(), "contaminated"))

@@ -18,7 +18,7 @@ SPACE_SIGNS = " \t\n\x0b\x0c\r"
 #: Bits of a set of keys that is broadcast; its size does not depend on the data.
 BITS = 1 << 23
 
-__all__ = ["SPACE_SIGNS", "WORD", "bit_set", "id_remainder", "keep_ids", "likely", "passing", "text_bytes", "written"]
+__all__ = ["SPACE_SIGNS", "WORD", "bit_set", "id_remainder", "likely", "passing", "text_bytes", "without", "written"]
 
 
 def text_bytes(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
@@ -35,14 +35,12 @@ def id_remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``, NULL among them; columns as they were.
-
-    Spark broadcasts ``ids`` below its size threshold and joins by sorting beyond it.
-    """
-    named = ids.select(F.col("doc_id").alias("_kept_id")).distinct()
-    same = docs["doc_id"].cast("bigint").eqNullSafe(named["_kept_id"])
-    return docs.join(named, same, "left_semi")
+def without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
+    """Rows of ``docs`` whose key is not in ``keys`` (``doc_id``, ``_text``); columns as they were."""
+    named = keys.select(F.col("doc_id").alias("_gone_id"), F.col("_text").alias("_gone_text"))
+    doc_id, text = docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"].cast("string"))
+    same = doc_id.eqNullSafe(F.col("_gone_id")) & text.eqNullSafe(F.col("_gone_text"))
+    return docs.join(named, same, how)
 
 
 def bit_set(keys: DataFrame, name: str) -> bytes:

@@ -36,16 +36,24 @@ RUN_ROWS = 5_000
 
 def sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """Per row ``doc_id``, ``source``, its words as ``size``, and its place ``draw`` in the shuffle."""
-    words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
-    doc_id = F.col("doc_id").cast("bigint")
     return docs.select(
-        doc_id.alias("doc_id"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        words.cast("bigint").alias("size"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string")).cast("binary")).alias("draw"),
+        _size(docs).alias("size"),
+        _draw(F.col("doc_id"), seed).alias("draw"),
     )
 
 
+def _size(docs: DataFrame) -> Column:
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    return F.regexp_count(text, F.lit(WORD)).cast("bigint")
+
+
+def _draw(doc_id: Column, seed: int) -> Column:
+    """Random digits that order a source's queue, the same in every run."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("bigint").cast("string")).cast("binary"))
+
+
 def targets(rows: DataFrame) -> DataFrame:
     """``(source, rank, source_size, target)``: shares by weight, none above its source's limit.
 
@@ -109,7 +117,7 @@ def _entry(turn: int) -> Column:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Per row ``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` and its entries' order."""
+    """Per row ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, turns and order."""
     rows = written(queued(written(sizes(docs), "sizes")), "queues")
     total = rows.agg(F.sum("size")).first()[0] or 0
     budget, spans = SHARE * total, max(1, math.ceil(SHARE * total / SPAN_WORDS))
@@ -145,8 +153,8 @@ def mix(docs: DataFrame) -> DataFrame:
         "target",
         (F.col("size") * copies).cast("bigint").alias("taken"),
         copies.cast("int").alias("copies"),
-        "first",
-        "second",
+        "source",
+        "draw",
     )
 
 
@@ -157,10 +165,20 @@ def _finish(turn: int) -> Column:
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of ``docs``, once per turn taken; columns as they were.
 
-    Rows of one id are taken together, as often as any of them.
+    In the order of a source, finish times only grow, so a turn takes all rows up to a last one. Two
+    such last rows per source are joined to the texts, which are not exchanged unless the sources
+    outgrow a broadcast.
     """
-    taken = written(mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies")), "taken")
-    taken = taken.filter("_copies > 0").withColumnRenamed("doc_id", "_id")
-    out = docs.join(taken, docs["doc_id"].cast("bigint").eqNullSafe(taken["_id"]))
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    return out.select(*[docs[c] for c in docs.columns], again).drop("_copy")
+    key = F.struct("draw", "doc_id", "size")
+    lasts = mix(docs).groupBy("source").agg(
+        F.max(F.when(F.col("copies") > 0, key)).alias("_once"),
+        F.max(F.when(F.col("copies") > 1, key)).alias("_twice"),
+    )
+    lasts = written(lasts.withColumnRenamed("source", "_of"), "lasts")
+    size, draw = _size(docs), _draw(docs["doc_id"], SEED)
+    own = F.struct(draw.alias("draw"), docs["doc_id"].cast("bigint").alias("doc_id"), size.alias("size"))
+    joined = docs.join(lasts, docs["source"].cast("string").eqNullSafe(lasts["_of"]))
+    times = [F.coalesce((own <= F.col(c)).cast("int"), F.lit(0)) for c in ("_once", "_twice")]
+    copies = F.when(size > 0, times[0] + times[1]).otherwise(0)
+    turns = F.explode(F.array_repeat(F.lit(1), copies)).alias("_turn")
+    return joined.select(*[docs[c] for c in docs.columns], turns).drop("_turn")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.llm.components import components
-from seqprep.llm.frames import bit_set, keep_ids, likely, text_bytes, written
+from seqprep.llm.frames import bit_set, likely, text_bytes, without, written
 from seqprep.llm.words import grams, mix, signed, word_lists
 
 SHINGLE = 5
@@ -162,7 +162,11 @@ def _pairs(members: DataFrame, round_: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
-    data = text_bytes(docs, F.xxhash64("text").alias("_text"))
+    return _near_duplicates(docs).drop("_text")
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
+    data = text_bytes(docs, F.xxhash64(F.col("text").cast("string")).alias("_text"))
     signs = written(data.mapInArrow(_sign, _SIGNED), "signatures")
     named = signs.filter("node is not null")
     nodes = named.groupBy("node").agg(
@@ -201,24 +205,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = _rooted(nodes.select("node", "first_id"), roots)
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = rooted.select("node", "root").join(first, "root").select("node", "component_id")
-    out = signs.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
+    out = signs.select("doc_id", "_text", "n_shingles", "node").join(of_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "_text", "n_shingles", component.alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.withColumn("kept", kept)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group; columns as they were.
+    """``docs`` with one row of each group; columns as they were.
 
-    An id names one document: of several kept rows with one id, one stays. Rows without an id stay
-    where no row of their component has one.
+    The row with the least id stays, of several with that id the one with the least text hash, and
+    of equal ones any. Rows without words all stay. The texts are joined by sorting at every size, so
+    a small table runs the plan of a large one.
     """
-    found = written(near_duplicates(docs), "near_dups")
-    ids = found.filter("kept").select("doc_id")
-    repeated = ids.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    repeated = written(repeated.select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return keep_ids(docs, ids)
-    once = keep_ids(docs, ids.join(repeated, "doc_id", "left_anti"))
-    return once.unionByName(keep_ids(docs, repeated).dropDuplicates(["doc_id"]))
+    found = written(_near_duplicates(docs), "near_dups")
+    linked = found.filter("kept and n_shingles > 0")
+    many = linked.groupBy("component_id").agg(F.count("*").alias("_n"), F.min("_text").alias("_first"))
+    many = written(many.filter("_n > 1").withColumnRenamed("component_id", "_of"), "repeated")
+    gone = found.filter("not kept").select("doc_id", "_text")
+    if many.isEmpty():
+        return without(docs, gone.distinct().hint("merge"))
+    tied = linked.join(many, F.col("component_id").eqNullSafe(F.col("_of")))
+    tied = tied.filter("component_id is not null").select("doc_id", "_text", "_first").distinct()
+    once = without(docs, gone.unionByName(tied.select("doc_id", "_text")).distinct().hint("merge"))
+    first = tied.filter("_text <=> _first").select("doc_id", "_text")
+    return once.unionByName(without(docs, first, "left_semi").dropDuplicates(["doc_id", "text"]))
