@@ -175,10 +175,11 @@ def mixed(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("copies") > 1, key)).alias("_twice"),
     )
     lasts = written(lasts.withColumnRenamed("source", "_of"), "lasts")
-    size, draw = _size(docs), _draw(docs["doc_id"], SEED)
-    own = F.struct(draw.alias("draw"), docs["doc_id"].cast("bigint").alias("doc_id"), size.alias("size"))
-    joined = docs.join(lasts, docs["source"].cast("string").eqNullSafe(lasts["_of"]))
-    times = [F.coalesce((own <= F.col(c)).cast("int"), F.lit(0)) for c in ("_once", "_twice")]
-    copies = F.when(size > 0, times[0] + times[1]).otherwise(0)
+    doc_id = docs["doc_id"].cast("bigint")
+    own = F.struct(_draw(docs["doc_id"], SEED).alias("draw"), doc_id.alias("doc_id"), _size(docs).alias("size"))
+    keyed = docs.select("*", own.alias("_own"))
+    joined = keyed.join(lasts, docs["source"].cast("string").eqNullSafe(lasts["_of"]))
+    times = [F.coalesce((F.col("_own") <= F.col(c)).cast("int"), F.lit(0)) for c in ("_once", "_twice")]
+    copies = F.when(F.col("_own")["size"] > 0, times[0] + times[1]).otherwise(0)
     turns = F.explode(F.array_repeat(F.lit(1), copies)).alias("_turn")
     return joined.select(*[docs[c] for c in docs.columns], turns).drop("_turn")
