@@ -20,7 +20,8 @@ CHAT_MARKERS = {
 GENERATION_MARKER = "<reserved_107>"
 
 # Architecture names looked for in a lower-cased name, first match wins; a rule may
-# exclude a longer name. Second list: the coarser rules, where "qwen" also takes "qwen2".
+# exclude a longer name. The second list finds the layers to adapt, the third the architectures whose
+# fixed parameters are cast.
 ARCHITECTURE_RULES = [
     ("baichuan", None, "baichuan"),
     ("gemma2", None, "gemma2"),
@@ -28,6 +29,9 @@ ARCHITECTURE_RULES = [
     ("qwen", "qwen2", "qwen"),
     ("chatglm", None, "chatglm"),
 ]
+ADAPTED_LAYER_RULES = [("baichuan", None, "W_pack"), ("qwen", None, "c_proj")]
+DEFAULT_ADAPTED_LAYERS = "q_proj,v_proj"
+CAST_RULES = [("llama", None, "cast"), ("qwen2", None, "cast"), ("gemma", None, "cast")]
 
 Markers = Mapping[str, tuple[str, str]]
 

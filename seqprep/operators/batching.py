@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,17 +46,23 @@ def _batches(
 
 
 def train_steps(df: DataFrame, batch_size: int, epochs: int, max_steps: int = -1) -> DataFrame:
-    """One row ``(rows, batches, steps)``: full batches per epoch times epochs, with the cap."""
+    """One row ``(rows, batches, steps)``: full batches per epoch times epochs.
+
+    ``max_steps`` above 0 takes the place of the epochs, also where it makes the run longer; without
+    a full batch there is no step.
+    """
     batches = F.floor(F.col("rows") / F.lit(batch_size)).cast("bigint")
     steps = F.col("batches") * F.lit(epochs)
     if max_steps > 0:
-        steps = F.least(steps, F.lit(max_steps).cast("bigint"))
+        steps = F.when(F.col("batches") > 0, F.lit(max_steps).cast("bigint")).otherwise(F.lit(0))
     counted = df.agg(F.count("*").alias("rows")).withColumn("batches", batches)
     return counted.withColumn("steps", steps.cast("bigint"))
 
 
 def with_epochs(df: DataFrame, epochs: int) -> DataFrame:
     """Every row once per epoch, with its ``epoch`` from 0: a projection, no exchange."""
+    if epochs < 1:
+        raise ValueError(f"expected one epoch or more, found {epochs}")
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
@@ -110,8 +117,13 @@ def assign_epoch_batches(
 ) -> DataFrame:
     """Shuffled full batches of every epoch: ``epoch``, ``batch_id``, ``slot`` and overall ``step``.
 
-    ``step`` counts from 1 through all epochs; ``max_steps`` above 0 ends the run there.
+    ``step`` counts from 1 through all epochs. ``max_steps`` above 0 takes the place of ``epochs``: the
+    data is repeated until that step, where the run ends.
     """
+    if max_steps > 0:
+        rows = df.count()
+        per_epoch = rows // batch_size if drop_last else math.ceil(rows / batch_size)
+        epochs = max(1, math.ceil(max_steps / max(per_epoch, 1)))
     placed = epoch_order(with_epochs(df, epochs), key, seed, bucket_digits)
     full = F.floor(F.col("epoch_rows") / F.lit(batch_size))
     batched = _batches(

@@ -6,8 +6,8 @@ A range is a set of key *values*, so a row's range never depends on how a task w
 recomputed. Work inside a range is an ordinary window; what crosses a border is carried over by at
 most one row per range.
 
-Order keys must be unique: without that a row has no defined position. Group columns must not be
-NULL.
+Order keys must be unique: without that a row has no defined position. Rows whose group is NULL are
+one group, however many ranges there are.
 """
 
 from __future__ import annotations
@@ -228,11 +228,17 @@ def neighbour(
     carried = ranged.filter(at_edge).select(
         *group, (F.col("_range") - step).alias("_range"), F.struct(*values).alias("_carried")
     )
-    return (
-        out.join(carried, [*group, "_range"], "left")
-        .withColumn(name, F.coalesce(name, "_carried"))
-        .drop("_range", "_carried")
-    )
+    joined = _join_groups(out, carried, group, "left")
+    return joined.withColumn(name, F.coalesce(name, "_carried")).drop("_range", "_carried")
+
+
+def _join_groups(rows: DataFrame, other: DataFrame, group: Sequence[str], how: str) -> DataFrame:
+    """Join on group and range, where NULL equals NULL; the columns of ``rows`` keep their names."""
+    named = other.withColumnsRenamed({c: f"_of_{c}" for c in group} | {"_range": "_of_range"})
+    same = F.col("_range") == F.col("_of_range")
+    for c in group:
+        same = same & rows[c].eqNullSafe(F.col(f"_of_{c}"))
+    return rows.join(named, same, how).drop("_of_range", *[f"_of_{c}" for c in group])
 
 
 def running_sum(
@@ -270,7 +276,8 @@ def running_sum(
         .withColumn("_total", F.sum("_sum").over(per_group))
         .drop("_sum")
     )
-    out = out.join(sums, [*group, "_range"]).withColumn(name, F.col(name) + F.col("_before"))
+    out = _join_groups(out, sums, group, "inner")
+    out = out.withColumn(name, F.col(name) + F.col("_before"))
     if total:
         out = out.withColumnRenamed("_total", total)
     return out.drop("_range", "_value", "_before", "_total")

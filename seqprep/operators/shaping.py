@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions.text import CHAT_MARKERS, Markers, render_message
-from seqprep.operators.ranges import ROWS_PER_RANGE, key_ranges, neighbour
+from seqprep.operators.ranges import ROWS_PER_RANGE, key_ranges, neighbour, running_sum
 
 # Turns rendered into one output row; a longer conversation continues in the next part.
 PART_TURNS = 1_024
@@ -50,36 +50,22 @@ def ordered_parts(
     turn: str,
     piece: Column,
     part_turns: int,
-    first_turns: bool,
-    last_turns: bool,
 ) -> DataFrame:
-    """Turns of a conversation in order, at most ``part_turns`` to a row.
+    """Turns of a conversation in order, at most ``part_turns`` to a row; ``parts`` is their number.
 
-    Which part is the first or the last of its conversation is learnt from one pre-aggregated row
-    per conversation, sent along with the turns in the same exchange.
+    Parts go by a turn's rank in its conversation, whatever its number. The rank is counted in value
+    ranges, so one conversation may be of any length.
     """
-    part = F.floor(F.col(turn) / F.lit(part_turns)).cast("bigint")
-    turns = conversations.select(
-        key, part.alias("part"), F.col(turn).alias("_turn"), piece.alias("_piece"),
-        F.lit(False).alias("_first"), F.lit(False).alias("_last"),
-    )
-    ends = conversations.groupBy(key).agg(F.min(turn).alias("_lo"), F.max(turn).alias("_hi"))
-    for wanted, at, first in ((first_turns, "_lo", True), (last_turns, "_hi", False)):
-        if wanted:
-            marks = ends.select(
-                key,
-                F.floor(F.col(at) / F.lit(part_turns)).cast("bigint").alias("part"),
-                F.col(at).alias("_turn"),
-                F.lit(None).cast("string").alias("_piece"),
-                F.lit(first).alias("_first"),
-                F.lit(not first).alias("_last"),
-            )
-            turns = turns.unionByName(marks)
+    turns = conversations.select(key, F.col(turn).alias("_turn"), piece.alias("_piece"))
+    ranges = key_ranges(turns, [key, "_turn"])
+    ranked = running_sum(turns, [key], ["_turn"], F.lit(1), ranges, "_at", total="_of")
+    part = F.floor((F.col("_at") - 1) / F.lit(part_turns)).cast("bigint")
     item = F.when(F.col("_piece").isNotNull(), F.struct("_turn", "_piece"))
-    return turns.groupBy(key, "part").agg(
+    return ranked.groupBy(key, part.alias("part")).agg(
         F.sort_array(F.collect_list(item)).alias("_items"),
-        F.bool_or("_first").alias("_first"),
-        F.bool_or("_last").alias("_last"),
+        F.bool_or(F.col("_at") == 1).alias("_first"),
+        F.bool_or(F.col("_at") == F.col("_of")).alias("_last"),
+        F.max(F.ceil(F.col("_of") / F.lit(part_turns))).cast("bigint").alias("parts"),
     )
 
 
@@ -97,9 +83,7 @@ def render_conversations(
     text is the concatenation of its parts, and the generation marker ends the last one.
     """
     piece = render_message(F.col("role"), F.col("text"), markers)
-    parts = ordered_parts(
-        conversations, key, turn, piece, part_turns, False, generation_marker is not None
-    )
+    parts = ordered_parts(conversations, key, turn, piece, part_turns)
     text = F.array_join(F.col("_items._piece"), "")
     if generation_marker is not None:
         text = F.concat(text, F.when(F.col("_last"), generation_marker).otherwise(""))

@@ -134,7 +134,8 @@ def run_summary(
         F.max_by(F.when(warm_up, span), F.when(warm_up, order)).alias("_warm"),
         F.max(F.struct(F.col("_us"), "seq", "step")).alias("_clock"),
     )
-    joined = per_event.join(per_clock, "run_id", "left")
+    per_clock = per_clock.withColumnRenamed("run_id", "_run")
+    joined = per_event.join(per_clock, per_event["run_id"].eqNullSafe(per_clock["_run"]), "left")
     tail = F.col("_last") - F.col("_clock._us")
     tail_steps = F.col("_last_step") - F.col("_clock.step")
     tail_tps = tokens_per_second(block, F.col("_batch"), tail_steps, seconds(tail))

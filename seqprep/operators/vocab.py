@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqprep.functions.sequences import truncate
+from seqprep.plans.storage import written
 
 # Fixed value: a token is a run of ASCII letters and digits, or any other single non-space sign.
 TOKEN_PATTERN = r"[a-z0-9]++|[^a-z0-9\s]"
@@ -98,8 +99,9 @@ def encode(
 
     The size of the vocabulary is checked. Up to ``inline_rows`` it becomes a constant hash table
     in the projection: no exchange at all (0 rules this way out without a look). A larger one is
-    joined token by token (see :func:`encode_by_join`), for which ``key`` must identify a row; it
-    is read more than once, so pass one that is written down or checkpointed.
+    joined token by token (see :func:`encode_by_join`); it is read more than once, so pass one that is
+    written down or checkpointed. Every form gives the same: a NULL text has NULL ids, an empty one
+    none, and neither NULL nor repeated values of ``key`` matter.
     """
     hashed = vocab.select("tok", "id", F.xxhash64("tok").alias("hash"))
     entries = hashed.limit(inline_rows + 1).collect() if inline_rows else None
@@ -140,25 +142,25 @@ def encode_by_join(
 ) -> DataFrame:
     """:func:`encode` for a vocabulary too large to be a constant.
 
-    Rows are placed by ``key`` first, as text, so that regrouping the tokens needs no second
-    exchange when the vocabulary is broadcast. Beyond ``broadcast_rows`` both sides are exchanged by
-    token, and each token is spread over ``TOKEN_SALTS`` places, since a few tokens make up most of
-    any text. At most ``max_len`` tokens of a row are regrouped.
+    Tokens are taken and cut to ``max_len`` first and written down with a row id, so no exchange
+    carries the text and rows need no key of their own. Beyond ``broadcast_rows`` both sides are
+    exchanged by token, and each token is spread over ``TOKEN_SALTS`` places, since a few tokens make
+    up most of any text. At most ``max_len`` tokens of a row are regrouped.
     """
-    key = list(key)
     tokens = truncate(tokens_of(F.col(text), marks), max_len)
-    placed = df.repartition(*key)
-    exploded = placed.select(*key, F.posexplode_outer(tokens).alias("_i", "tok"))
+    rows = df.withColumns({"_tokens": tokens, "_row": F.monotonically_increasing_id()})
+    rows = written(rows, "tokens")
+    exploded = rows.select("_row", F.posexplode("_tokens").alias("_i", "tok"))
     table = vocab.select("tok", "id")
     if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
         found = exploded.join(F.broadcast(table), "tok", "left")
     else:
         salts = F.sequence(F.lit(0), F.lit(TOKEN_SALTS - 1))
         found = exploded.withColumn(
-            "_salt", F.pmod(F.xxhash64(*key, "_i"), F.lit(TOKEN_SALTS)).cast("int")
+            "_salt", F.pmod(F.xxhash64("_row", "_i"), F.lit(TOKEN_SALTS)).cast("int")
         ).join(table.withColumn("_salt", F.explode(salts)), ["tok", "_salt"], "left")
     item = F.struct("_i", F.coalesce("id", F.lit(unk_id).cast("bigint")).alias("id"))
-    grouped = found.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("_i").isNotNull(), item))).alias("_items")
-    )
-    return placed.join(grouped.select(*key, F.col("_items.id").alias(name)), key, "left")
+    grouped = found.groupBy("_row").agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    none = F.when(F.col("_tokens").isNotNull(), F.array().cast("array<bigint>"))
+    ids = F.coalesce(F.col("_items.id"), none)
+    return rows.join(grouped, "_row", "left").select(*[rows[c] for c in df.columns], ids.alias(name))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seqprep.functions import scalars, sequences
 from seqprep.functions import text as texts
-from seqprep.operators import aggregates, batching, shaping, splits, telemetry, vocab
+from seqprep.operators import aggregates, batching, ranges, shaping, splits, telemetry, vocab
 from seqprep.operators.rows import map_rows as apply_rows
 from seqprep.plans import inputs, prepare, storage
 from seqprep.sources import chat_records, datasets, run_logs
@@ -57,6 +57,26 @@ def read_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "split", "instruction", "response")
 
 
+@query
+def read_published_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written with a published split of their own: only its train rows are cut."""
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    published = docs.withColumn("split", F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train"))
+    spec = datasets.DatasetSpec("source", "text", rule=splits.TAIL_DROPPED, order_by=("doc_id",))
+    path = storage.write_new(published, "published")
+    rows = datasets.read_dataset(spark, "published", path, {"published": spec})
+    return rows.select("doc_id", "split")
+
+
+@query
+def running_sum_null_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of events in the order of their user, events of every seventh user in one NULL group."""
+    group = F.nullif(F.col("user_id") % 7, F.lit(0))
+    events = inputs.table(spark, sf_dir, "events").select("event_id", group.alias("g"))
+    cut = ranges.key_ranges(events, ["g", "event_id"], 2_000)
+    return ranges.running_sum(events, ["g"], ["event_id"], F.lit(1), cut, "place", total="places")
+
+
 @query
 def pct_front_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents")
@@ -120,8 +140,8 @@ def pair_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def plain_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses longer than 300 characters are made missing, to read ``None``."""
-    response = F.when(F.length("response") <= 300, F.col("response"))
+    """The responses of every seventh conversation are made missing, to read ``None``."""
+    response = F.when(F.col("conv_id") % 7 != 0, F.col("response"))
     prompt = texts.plain_prompt(F.col("instruction"), response)
     return inputs.pairs(spark, sf_dir).select("conv_id", "turn", prompt.alias("text"))
 
@@ -349,6 +369,12 @@ def train_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.train_steps(inputs.table(spark, sf_dir, "documents"), BATCH, EPOCHS)
 
 
+@query
+def train_steps_longer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A maximum beyond the epochs makes the run longer."""
+    return batching.train_steps(inputs.table(spark, sf_dir, "documents"), BATCH, 1, max_steps=100_000)
+
+
 @query
 def eval_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The validation split in its own order, full batches only."""

@@ -37,6 +37,16 @@ _MIDDLE = f"CASE WHEN pos < {_bound(90)} THEN 'train' ELSE 'validation' END"
 
 ORACLE_SQL["read_dataset"] = f"""
 {_DOCS} SELECT doc_id, {_FRONT} AS split, source AS instruction, text AS response FROM placed"""
+ORACLE_SQL["read_published_split"] = """
+WITH train AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n
+  FROM documents WHERE doc_id % 5 <> 0)
+SELECT doc_id, CASE WHEN pos < round_even(n * 90 / 100.0, 0) THEN 'train' ELSE 'validation' END AS split
+FROM train WHERE pos < round_even(n * 95 / 100.0, 0)"""
+ORACLE_SQL["running_sum_null_groups"] = """
+WITH e AS (SELECT event_id, nullif(user_id % 7, 0) AS g FROM events)
+SELECT event_id, g, row_number() OVER (PARTITION BY g ORDER BY event_id) AS place,
+  count(*) OVER (PARTITION BY g) AS places FROM e"""
 ORACLE_SQL["pct_front_split"] = f"{_DOCS} SELECT doc_id, {_FRONT} AS split FROM placed"
 ORACLE_SQL["materialised_split"] = ORACLE_SQL["pct_front_split"]
 ORACLE_SQL["pct_middle_split"] = f"""
@@ -70,10 +80,12 @@ SELECT conv_id, turn, to_json([{{'role': 'user', 'content': instruction}},
 ORACLE_SQL["plain_prompt"] = f"""
 WITH {_PAIRS}
 SELECT conv_id, turn, '##INSTRUCTION ' || instruction || chr(10) || chr(10) || '##RESPONSE '
-  || coalesce(CASE WHEN length(response) <= 300 THEN response END, 'None') AS text FROM pairs"""
+  || coalesce(CASE WHEN conv_id % 7 <> 0 THEN response END, 'None') AS text FROM pairs"""
 ORACLE_SQL["render_pairs"] = f"WITH {_PAIRS} SELECT conv_id, turn, {_PAIR_TEXT} AS text FROM pairs"
 ORACLE_SQL["render_conversations"] = f"""
-SELECT conv_id, turn // 1024 AS part, {_TURN_TEXT} AS text FROM conversations GROUP BY ALL"""
+SELECT conv_id, part, {_TURN_TEXT} AS text FROM (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 1024 AS part FROM conversations)
+GROUP BY ALL"""
 ORACLE_SQL["render_generation"] = f"""
 SELECT conv_id, part, text || CASE WHEN part = max(part) OVER (PARTITION BY conv_id)
   THEN '<reserved_107>' ELSE '' END AS text FROM ({ORACLE_SQL["render_conversations"]})"""
@@ -209,6 +221,9 @@ ORACLE_SQL["train_steps"] = f"""
 SELECT count(*) AS rows, count(*) // {BATCH} AS batches, count(*) // {BATCH} * {EPOCHS} AS steps
 FROM documents"""
 
+ORACLE_SQL["train_steps_longer"] = f"""
+SELECT count(*) AS rows, count(*) // {BATCH} AS batches,
+  CASE WHEN count(*) >= {BATCH} THEN 100000 ELSE 0 END::BIGINT AS steps FROM documents"""
 ORACLE_SQL["eval_batches"] = f"""
 {_DOCS} SELECT doc_id, pos // {EVAL_BATCH} AS batch_id, pos % {EVAL_BATCH} AS slot
 FROM placed
@@ -357,7 +372,7 @@ SELECT sum(v) FILTER (WHERE l_linestatus = 'F')::BIGINT AS flagged, sum(v)::BIGI
   (100 * sum(v) FILTER (WHERE l_linestatus = 'F'))::DOUBLE / sum(v)::DOUBLE AS percent
 FROM sized"""
 ORACLE_SQL["chat_requests"] = """
-SELECT conv_id, 0::BIGINT AS part,
+SELECT conv_id, 0::BIGINT AS part, 1::BIGINT AS parts,
   to_json({'model': 'assistant-model',
            'messages': list({'role': role, 'content': text} ORDER BY turn),
            'max_tokens': 200})::VARCHAR AS body

@@ -33,13 +33,13 @@ def to_chat_requests(
     turn: str = "turn",
     part_turns: int = PART_TURNS,
 ) -> DataFrame:
-    """``(key, part, body)``: the JSON chat request that holds a conversation's messages.
+    """``(key, part, parts, body)``: the JSON chat request that holds a conversation's messages.
 
     The body of a conversation of up to ``part_turns`` turns is one complete record; a longer one
     is the concatenation of its parts.
     """
     piece = F.to_json(message(F.col("role"), F.col("text")), {"ignoreNullFields": "false"})
-    parts = ordered_parts(conversations, key, turn, piece, part_turns, True, True)
+    parts = ordered_parts(conversations, key, turn, piece, part_turns)
     head = f'{{"model":{json.dumps(model, ensure_ascii=False)},"messages":['
     tail = f'],"max_tokens":{int(max_tokens)}}}'
     body = F.concat(
@@ -47,13 +47,15 @@ def to_chat_requests(
         F.array_join(F.col("_items._piece"), ","),
         F.when(F.col("_last"), tail).otherwise(""),
     )
-    return parts.select(key, "part", body.alias("body"))
+    return parts.select(key, "part", "parts", body.alias("body"))
 
 
 def write_chat_requests(requests: DataFrame, path: str) -> None:
-    """One request per line. Requests in several parts are refused: a line must be a record."""
-    whole = F.assert_true(F.col("part") == 0, F.lit("a request spans several parts"))
-    requests.filter(whole.isNull()).select("body").write.mode("overwrite").text(path)
+    """One request per line, those of one part: a line must be a record.
+
+    A request in several parts holds up no other; ``requests.filter("parts > 1")`` are those left.
+    """
+    requests.filter("parts = 1").select("body").write.mode("overwrite").text(path)
 
 
 def read_chat_responses(df: DataFrame, json_col: str) -> DataFrame:

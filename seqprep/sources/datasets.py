@@ -12,6 +12,8 @@ from seqprep.operators.shaping import map_roles
 from seqprep.operators.splits import FRONT_VALIDATION, TAIL_DROPPED, SplitRule, with_split
 
 FILE, ROW = "source_file", "source_row"
+# Published splits by file name, such as train-00000-of-00002.parquet.
+SPLIT_FILE = r"^(train|validation|valid|dev|test)(?:[-_.]|$)"
 
 
 @dataclass(frozen=True)
@@ -52,18 +54,27 @@ def dataset_spec(name: str, registry: dict[str, DatasetSpec] | None = None) -> D
 
 
 def read_rows(spark: SparkSession, spec: DatasetSpec, path: str | Sequence[str]) -> DataFrame:
-    """The dataset's rows with their order key: its own, or file name and row number."""
+    """The dataset's rows with their order key: its own, or file name and row number.
+
+    Rows without a ``split`` column or folder get the split that their file is named after, or train.
+    """
     reader = spark.read.option("header", "true") if spec.format == "csv" else spark.read
     reader = reader.schema(spec.schema) if spec.schema else reader
     paths = [path] if isinstance(path, str) else list(path)
     rows = reader.format(spec.format).load(paths)
+    if "split" not in rows.columns:
+        named = F.regexp_extract(F.col("_metadata.file_name"), SPLIT_FILE, 1)
+        split = F.when(named == "", "train").otherwise(named)
+        rows = rows.select("*", "_metadata", split.alias("split"))
+    else:
+        rows = rows.select("*", "_metadata")
     if spec.order_by or spec.rule is None:
-        return rows
+        return rows.drop("_metadata")
     if spec.format != "parquet":
         raise ValueError(f"a split of {spec.format} files needs an order key")
-    return rows.select(
-        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)
-    )
+    return rows.withColumns(
+        {FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")}
+    ).drop("_metadata")
 
 
 def read_dataset(
@@ -74,13 +85,12 @@ def read_dataset(
 ) -> DataFrame:
     """Rows of a named dataset with ``instruction``, ``response`` and ``split``.
 
-    A dataset used as published keeps its own ``split`` column (or ``split=...`` folders); one
-    without any is all train.
+    A dataset used as published keeps its own splits: a column, ``split=...`` folders, or files named
+    after them; one without any is all train. A split rule cuts the published train rows only.
     """
     spec = dataset_spec(name, registry)
     rows = read_rows(spark, spec, path)
     if spec.rule is not None:
+        rows = rows.filter("split = 'train'").drop("split")
         rows = with_split(rows, spec.rule, tuple(spec.order_by) or (FILE, ROW)).drop(FILE, ROW)
-    elif "split" not in rows.columns:
-        rows = rows.withColumn("split", F.lit("train"))
     return map_roles(rows, spec.instruction, spec.response)

@@ -10,8 +10,8 @@ from seqprep.functions.scalars import LOG_NAME_TIME, fixed_text, log_name_time,
 # The step line and the labels of the summary lines.
 STEP_LINE = "[Step %d] | TPS: %s tokens/sec | Loss: %s | LR : %s | Duration for 1 Step: %s sec"
 STEP_PATTERN = (
-    r"^\[Step (\d+)\] \| TPS: (\S+) tokens/sec \| Loss: (\S+) \| LR : (\S+)"
-    r" \| Duration for 1 Step: (\S+) sec$"
+    r"\[Step (\d+)\] \| TPS: (\S+) tokens/sec \| Loss: (\S+) \| LR : (\S+)"
+    r" \| Duration for 1 Step: (\S+) sec"
 )
 TOTAL = "Total Duration:"
 LOADING = "  Model Loading Duration:"
@@ -98,6 +98,8 @@ def write_run_logs(lines: DataFrame, path: str, lines_per_file: int = LINES_PER_
 def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     """Typed records of all log lines under ``path``; lines of no known form are left out.
 
+    A step may stand behind a progress bar on its line.
+
     ``run`` and ``started`` come from the log's name, ``<run>_<time>.log`` or ``<time>.log``.
     ``kind`` is step, summary or mark; an estimate is returned in seconds.
     """

@@ -206,3 +206,21 @@ def test_pairs_of_a_conversation_of_any_length(spark, per_range):
     columns = ("conv_id", "turn", "instruction", "response")
     assert got.count() >= 150
     assert ordered(got, *columns) == ordered(want, *columns)
+
+
+@pytest.mark.parametrize("per_range", [1000, 4])
+def test_null_groups_keep_all_rows(spark, per_range):
+    table = spark.range(30).select(F.nullif(F.col("id") % 3, F.lit(0)).alias("g"), F.col("id").alias("t"))
+    cut = ranges.key_ranges(table, ["g", "t"], per_range)
+    summed = ranges.running_sum(table, ["g"], ["t"], F.lit(1), cut, "at", total="of")
+    assert sorted(r["at"] for r in summed.filter("g is null").collect()) == list(range(1, 11))
+    assert summed.filter("of <> 10").isEmpty() and summed.count() == 30
+    beside = ranges.neighbour(table, ["g"], ["t"], ["t"], cut)
+    assert beside.filter("neighbour is null").count() == 3
+
+
+def test_epochs_are_at_least_one_and_max_steps_lengthen(spark):
+    with pytest.raises(ValueError):
+        batching.with_epochs(spark.range(3), 0)
+    got = batching.assign_epoch_batches(spark.range(100), ["id"], 10, 2, 1, max_steps=25)
+    assert got.agg(F.max("step")).first()[0] == 25 and got.count() == 250

@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from seqprep.operators import aggregates, shaping
+from seqprep.operators import aggregates, shaping, splits
 from seqprep.operators.rows import map_rows
 from seqprep.plans import storage
 from seqprep.sources import chat_records, datasets, run_logs
@@ -60,8 +60,33 @@ def test_requests_are_written_one_to_a_line(spark, long_talk, tmp_path):
     chat_records.write_chat_requests(chat_records.to_chat_requests(long_talk, "m", 9), path)
     assert spark.read.json(path).count() == 3
     parts = chat_records.to_chat_requests(long_talk, "m", 9, part_turns=4)
-    with pytest.raises(Exception, match="several parts"):
-        chat_records.write_chat_requests(parts, path)
+    chat_records.write_chat_requests(parts, path)
+    assert spark.read.json(path).count() == parts.filter("parts = 1").count() < 3
+
+
+def test_parts_go_by_rank(spark, long_talk):
+    moved = long_talk.withColumn("turn", F.col("turn") + 1020)
+    plain = chat_records.to_chat_requests(long_talk, "m", 9, part_turns=4)
+    assert sorted(chat_records.to_chat_requests(moved, "m", 9, part_turns=4).collect()) == sorted(plain.collect())
+
+
+def test_a_step_behind_a_progress_bar_is_read(spark, tmp_path):
+    line = "[Step 20] | TPS: 10.00 tokens/sec | Loss: 1.000000 | LR : 0.10000000 | Duration for 1 Step: 2.00 sec"
+    (tmp_path / "r_240101_000000.log").write_text(f" 40%|####      | 20/50 [00:01<00:02]{line}\nnoise\n")
+    assert [r["step"] for r in run_logs.read_run_logs(spark, str(tmp_path)).collect()] == [20]
+
+
+def test_published_splits_of_files(spark, tmp_path):
+    for name, ids in (("train", range(20)), ("test", range(20, 30))):
+        spark.range(ids.start, ids.stop).coalesce(1).selectExpr("id", "'a' instruction", "'b' response").write.parquet(f"{tmp_path}/{name}")
+        part = next((tmp_path / name).glob("part-*.parquet"))
+        (tmp_path / "d").mkdir(exist_ok=True)
+        part.rename(tmp_path / "d" / f"{name}-00000-of-00001.parquet")
+    rows = datasets.read_dataset(spark, "any", f"{tmp_path}/d")
+    assert {(r["split"], r["count"]) for r in rows.groupBy("split").count().collect()} == {("train", 20), ("test", 10)}
+    rule = datasets.DatasetSpec(rule=splits.TAIL_DROPPED)
+    cut = datasets.read_dataset(spark, "d", f"{tmp_path}/d", {"d": rule})
+    assert sorted(r["id"] for r in cut.filter("split = 'train'").collect()) == list(range(18))
 
 
 def test_response_record(spark):

@@ -123,3 +123,14 @@ def test_counting_combines_before_the_exchange(spark, docs):
     plan = vocab.build_vocab(docs, "text", 5)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "partial_sum" in plan
     assert docs.select(F.size(vocab.tokens_of(F.col("text")))).count() == len(TEXTS)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"inline_rows": 0}, {"inline_rows": 0, "broadcast_rows": 0}])
+def test_null_text_and_repeated_keys_encode_alike(spark, sizes):
+    rows = [(None, "a b"), (1, "a"), (1, None), (2, ""), (1, "b")]
+    table = spark.createDataFrame(rows, "k bigint, t string").repartition(2)
+    words = spark.createDataFrame([("a", 3), ("b", 4)], "tok string, id bigint")
+    found = vocab.encode(table, ["k"], "t", words, 8, **sizes).collect()
+    assert {(r["k"], r["t"]): r["ids"] for r in found} == {
+        (None, "a b"): [3, 4], (1, "a"): [3], (1, None): None, (2, ""): [], (1, "b"): [4],
+    }
