@@ -6,10 +6,12 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions.sequences import truncate
+from seqprep.operators.ranges import NARROW_ROWS_PER_RANGE as RANK_ROWS
+from seqprep.operators.ranges import key_ranges, with_position
 from seqprep.plans.storage import written
 
 # Fixed value: a token is a run of ASCII letters and digits, or any other single non-space sign.
@@ -67,14 +69,15 @@ def build_vocab(
 ) -> DataFrame:
     """``(tok, id)``: the specials, then the ``size`` most frequent tokens, ties by token.
 
-    The numbering sees at most ``size`` rows.
+    Counts are written down once and numbered over value ranges, so no task sees them all.
     """
     counted = count_tokens(df, text, marks)
     if specials:
         counted = counted.filter(~F.col("tok").isin(*specials))
-    top = counted.orderBy(F.desc("n"), "tok").limit(size)
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "tok"))
-    ranked = top.select("tok", (rank - 1 + len(specials)).cast("bigint").alias("id"))
+    counted = written(counted.select((-F.col("n")).alias("_less"), "tok"), "token_counts")
+    placed = with_position(counted, key_ranges(counted, ["_less", "tok"], RANK_ROWS), "_rank")
+    rank = F.col("_rank") + len(specials)
+    ranked = placed.filter(F.col("_rank") < size).select("tok", rank.cast("bigint").alias("id"))
     if not specials:
         return ranked
     fixed = df.sparkSession.createDataFrame(

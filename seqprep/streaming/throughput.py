@@ -77,10 +77,14 @@ def _fold(span_us: int):
 
 
 def _clock_records(events: DataFrame, logging_steps: int, delay: str) -> DataFrame:
+    """Clock records behind a watermark that every event moves on.
+
+    The condition refers to the event time, so Spark does not filter before the watermark.
+    """
     require_columns(events, EVENT_SCHEMA)
     return (
         events.withWatermark("ts", delay)
-        .filter(is_clock_record(logging_steps))
+        .filter(F.when(F.col("ts").isNotNull(), is_clock_record(logging_steps)))
         .withColumn("us", F.unix_micros("ts"))
         .withColumn("yields", is_interval())
     )

@@ -216,3 +216,14 @@ def test_late_records_are_reported(spark, by_record):
     late = small(spark, event(1, 1, "step", 10, 5, 1.0))
     with pytest.raises(RuntimeError, match="after the watermark"):
         stream_of(spark, [now, late], "10 seconds", by_record)
+
+
+def test_an_event_of_any_kind_moves_the_watermark(spark, tmp_path):
+    schema = "run_id bigint, seq bigint, step bigint, kind string, ts timestamp, loss double, learning_rate double"
+    rows = [(1, 1, 0, "begin", 0), (1, 2, 5, "step", 10), (1, 3, 10, "step", 20), (2, 4, 3, "evaluate", 50_000)]
+    at = lambda s: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)
+    table = spark.createDataFrame([(r, q, n, k, at(s), 1.0, 0.1) for r, q, n, k, s in rows], schema)
+    table.coalesce(1).write.parquet(f"{tmp_path}/in")
+    events = spark.readStream.schema(table.schema).parquet(f"{tmp_path}/in")
+    throughput.finish(throughput.stream_throughput(events, 5, "10 seconds", f"{tmp_path}/out"))
+    assert spark.read.parquet(f"{tmp_path}/out/clock").count() == 3

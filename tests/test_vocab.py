@@ -120,7 +120,7 @@ def test_sequences_without_labels(spark, docs):
 
 
 def test_counting_combines_before_the_exchange(spark, docs):
-    plan = vocab.build_vocab(docs, "text", 5)._jdf.queryExecution().executedPlan().toString()
+    plan = vocab.count_tokens(docs, "text")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "partial_sum" in plan
     assert docs.select(F.size(vocab.tokens_of(F.col("text")))).count() == len(TEXTS)
 
