@@ -1,7 +1,8 @@
 """Work that depends on row order, spread over value ranges of the order key.
 
 A global order, or the order inside one very large group, must not be computed in one task. The
-order key is cut into contiguous ranges of similar size (one narrow pass over the key columns).
+order key is cut into contiguous ranges of similar size, by a sample and a partial count of the key
+columns; no key is exchanged but one per range and task.
 A range is a set of key *values*, so a row's range never depends on how a task was placed or
 recomputed. Work inside a range is an ordinary window; what crosses a border is carried over by at
 most one row per range.
@@ -15,7 +16,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -25,9 +26,8 @@ from pyspark.sql import types as T
 ROWS_PER_RANGE = 50_000
 NARROW_ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 16_384
-# Tasks that read the key columns: each takes many small pieces of a large table, so that the
-# exchange into ranges does not grow with the square of the table.
-SCAN_TASKS = 8_192
+# Sampled keys of a range.
+SAMPLES = 50
 LAST_STEP_ROWS = 100_000
 
 
@@ -81,11 +81,18 @@ def _key_array(rows: Sequence[Row], key_type: T.StructType) -> Column:
     return F.from_json(F.lit(text), T.ArrayType(key_type))
 
 
-def _scan(df: DataFrame, keys: Sequence[str], pieces: int) -> list[Row]:
-    """First key, last key and row count of ``pieces`` contiguous ranges, in order."""
-    scanned = df.select(*keys).coalesce(SCAN_TASKS)
-    narrow = scanned.select(order_struct(df, keys).alias("key"))
-    placed = narrow.repartitionByRange(pieces, "key").withColumn("piece", F.spark_partition_id())
+def _scan(df: DataFrame, ranges: KeyRanges, pieces: int) -> list[Row]:
+    """First key, last key and row count of about ``pieces`` contiguous ranges, in order.
+
+    Borders come from a sample of the keys, chosen by their hash. Every row finds its range where it
+    lies, and only one row per range and task is exchanged.
+    """
+    narrow = df.select(order_struct(df, ranges.keys).alias("key"))
+    one_in = max(1, ranges.total // (pieces * SAMPLES))
+    chosen = narrow.filter(F.pmod(F.xxhash64("key"), F.lit(one_in)) == 0)
+    sample = [row["key"] for row in chosen.orderBy("key").collect()]
+    borders = replace(ranges, first=sample[::SAMPLES])
+    placed = df.select(order_struct(df, ranges.keys).alias("key"), range_id(df, borders).alias("piece"))
     found = (
         placed.groupBy("piece")
         .agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n"))
@@ -111,7 +118,7 @@ def key_ranges(
     pieces = min(max_ranges, math.ceil(total / rows_per_range))
     if pieces <= 1:
         return KeyRanges(keys, key_type, total, counts=[total])
-    rows = _scan(df, keys, pieces)
+    rows = _scan(df, KeyRanges(keys, key_type, total), pieces)
     return KeyRanges(
         keys,
         key_type,
