@@ -6,8 +6,11 @@ takes the value of the first filled bin in its own fixed random order of bins, w
 all documents. Runs of ``ROWS`` bins form bands; documents that agree on a band share a bucket.
 
 Documents with equal sets are one node. A bucket links its nodes to one hub only, so it yields fewer
-pairs than it has members. Each pair is confirmed on the full sets. Buckets whose members are not
-yet in one component choose another hub, by another order, until a round finds no new link.
+pairs than it has members. Each pair is confirmed on the full sets. A hub then leaves its bucket, and
+buckets whose other members are not yet in one component choose another, by another order, until a
+round finds no new link. What is still in several components then is compared in blocks of a bucket,
+member by member but without a row per pair, so every two nodes of a bucket are compared or known to
+be connected.
 
 Defined results: a NULL or wordless text has an empty set and is linked with nothing; a text of
 fewer than five words is one shingle; repeated rows are each returned. A row without ``doc_id`` takes
@@ -37,6 +40,9 @@ BINS = 1 << BIN_BITS
 ROWS = 4
 #: Leaves that are compared with one copy of their hub.
 LEAVES = 64
+#: Members of a block on average, and shingles, whichever makes more blocks.
+BLOCK = 256
+BLOCK_SHINGLES = 1 << 20
 
 _SIGNED = "doc_id bigint, _text bigint, n_shingles bigint, node binary, bands array<bigint>"
 
@@ -143,23 +149,115 @@ def _rooted(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
     return nodes.join(up, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
 
 
-def _pairs(members: DataFrame, round_: int) -> DataFrame:
-    """Star of each bucket that still holds several components: its hub and the rest.
+def _hubs(members: DataFrame, round_: int) -> DataFrame:
+    """The hub of each bucket: ``node``, ``root`` and ``n`` in ``_hub``.
 
     The first hub is the member with the most company in all its buckets, which lies in the middle
     of a group of copies; later ones follow a seeded order.
     """
     first = F.xxhash64("node", F.lit(round_)) if round_ else -F.col("company")
     order = F.struct(first.alias("first"), "node", "root", "n")
-    hubs = members.groupBy("key").agg(
-        F.min(order).alias("_hub"), F.min("root").alias("_low"), F.max("root").alias("_high")
-    )
-    hubs = hubs.filter("_low <> _high").select("key", "_hub")
-    star = members.join(hubs, "key").filter("root <> _hub.root")
+    return members.groupBy("key").agg(F.min(order).alias("_hub"))
+
+
+def _pairs(members: DataFrame, round_: int) -> DataFrame:
+    """Star of each bucket: its hub and the members of other components."""
+    star = members.join(_hubs(members, round_), "key").filter("root <> _hub.root")
     fits = F.least("n", "_hub.n") * 100 >= F.greatest("n", "_hub.n") * PERCENT
     return star.filter(fits).select(F.col("_hub.node").alias("hub"), "node").distinct()
 
 
+def _unsettled(members: DataFrame, roots: DataFrame, round_: int) -> DataFrame:
+    """Members but the round's hubs, of buckets that hold several components even so."""
+    rest = members.join(_hubs(members, round_), "key").filter("node <> _hub.node")
+    rest = _rooted(rest.drop("_hub", "root"), roots)
+    ends = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+    return rest.join(ends.filter("_low <> _high").select("key"), "key", "left_semi")
+
+
+class _Block:
+    """Sets of one block, looked up together."""
+
+    def __init__(self, members: list[tuple]):
+        self.nodes, self.roots = [m[0] for m in members], np.array([m[1] for m in members], object)
+        self.sizes, self.bands = np.array([len(m[2]) for m in members]), np.array([m[3] for m in members])
+        values = np.concatenate([m[2] for m in members])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], np.repeat(np.arange(len(members)), self.sizes)[order]
+
+    def similar(self, root: bytes, found: np.ndarray, bands: np.ndarray, band: int) -> np.ndarray:
+        """Members of other components similar to a set, whose first common band is ``band``."""
+        low, high = (np.searchsorted(self.values, found, side) for side in ("left", "right"))
+        width = high - low
+        at = np.repeat(high - np.cumsum(width), width) + np.arange(int(width.sum()))
+        both = np.bincount(self.owners[at], minlength=len(self.nodes))
+        close = 100 * both >= PERCENT * (self.sizes + len(found) - both)
+        close &= (self.bands == bands).argmax(axis=1) == band
+        return np.flatnonzero(close & (self.roots != root))
+
+
+def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by cell, the cell's first block before its second; the linked pairs."""
+    cell, members, block = None, [], None
+
+    def inside() -> list[tuple[bytes, bytes]]:
+        """Pairs within the first block, in the cell that holds it alone."""
+        if cell is None or cell[1] != cell[2] or len(members) < 2:
+            return []
+        own = _Block(members)
+        return [
+            (own.nodes[j], node)
+            for i, (node, root, found, bands, band) in enumerate(members)
+            for j in own.similar(root, found, bands, band)
+            if j < i
+        ]
+
+    def record(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        columns = [pa.array([p[side] for p in pairs], pa.binary()) for side in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+    for batch in batches:
+        names = ("key", "i", "j", "kind", "node", "root")
+        rows, pairs = zip(*(batch.column(c).to_pylist() for c in names)), []
+        for row, words in zip(rows, word_lists(batch.column("_data").to_pylist())):
+            *place, kind, node, root = row
+            if cell != place:
+                pairs += inside()
+                cell, members, block = place, [], None
+            found = shingles(words)
+            bands = band_keys(found)
+            band = int((signed(bands) == place[0]).argmax())
+            if kind == 0:
+                members.append((node, root, found, bands, band))
+            elif members:
+                block = block or _Block(members)
+                pairs += [(block.nodes[j], node) for j in block.similar(root, found, bands, band)]
+        yield record(pairs)
+    yield record(inside())
+
+
+def _settle(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """All links between the components of each bucket, block against block.
+
+    A bucket of ``k`` unsettled members makes about ``k * k / BLOCK`` rows and no row per pair. A
+    task holds one block at a time. Two nodes that share several buckets are compared in one.
+    """
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    sizes = members.groupBy("key").agg(blocks.cast("bigint").alias("_of"))
+    own, other = F.pmod(F.xxhash64("node"), F.col("_of")), F.explode(F.sequence(F.lit(0), F.col("_of") - 1))
+    placed = members.join(sizes, "key").select("key", "node", "root", own.alias("_own"), other.alias("_other"))
+    cells = placed.select(
+        "key",
+        F.least("_own", "_other").alias("i"),
+        F.greatest("_own", "_other").alias("j"),
+        (F.col("_own") > F.col("_other")).cast("int").alias("kind"),
+        "node",
+        "root",
+    )
+    rows = cells.join(texts, "node").repartition("key", "i", "j")
+    return rows.sortWithinPartitions("key", "i", "j", "kind").mapInArrow(_compare_cells, "u binary, v binary")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
     return _near_duplicates(docs).drop("_text")
@@ -188,20 +286,26 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     same = near["_text"].eqNullSafe(wanted["_key"]) & near["doc_id"].eqNullSafe(wanted["_id"])
     texts = written(near.join(wanted, same).select("node", "_data"), "texts")
 
-    roots, tried, round_ = None, None, 0
+    members, roots, tried, round_ = _rooted(members, None), None, None, 0
     while True:
-        pairs = _pairs(_rooted(members, roots), round_)
+        pairs = _pairs(members, round_)
         if tried is not None:
             same = (F.least("hub", "node") == F.col("_a")) & (F.greatest("hub", "node") == F.col("_b"))
             pairs = pairs.join(tried, same, "left_anti")
         pairs = written(pairs, "pairs")
         links = written(_confirm(pairs, texts), "confirmed")
-        if round_ and links.isEmpty():
+        none = bool(round_) and links.isEmpty()
+        if not none:
+            roots = components(links if roots is None else links.unionByName(roots))
+        members = written(_unsettled(members, roots, round_), "unsettled")
+        if none or members.isEmpty():
             break
         seen = pairs.select(F.least("hub", "node").alias("_a"), F.greatest("hub", "node").alias("_b"))
         tried = seen if tried is None else tried.unionByName(seen)
-        roots = components(links if roots is None else links.unionByName(roots))
         round_ += 1
+    links = written(_settle(members, texts), "settled")
+    if not links.isEmpty():
+        roots = components(links.unionByName(roots))
     rooted = _rooted(nodes.select("node", "first_id"), roots)
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = rooted.select("node", "root").join(first, "root").select("node", "component_id")

@@ -134,6 +134,27 @@ def test_filters_keep_columns_and_whole_rows(awkward, items):
     assert mixed.count() == taken.agg(F.sum("copies")).first()[0]
 
 
+def test_links_past_hubs_are_found(spark, monkeypatch):
+    """Texts around one passage share buckets, few are similar, and none is to all hubs."""
+    monkeypatch.setattr(near_dups, "BLOCK", 4)
+    passage, texts = prose(7, 90, 10**6), []
+    for i in range(60):
+        own = prose(1000 + i // 2, 30 + i % 7, 10**6).split()
+        texts.append(" ".join([*passage.split(), *own[: len(own) - 5 * (i % 2)]]))
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in texts]
+    want = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and want[a] != want[b]:
+            low, high = sorted((want[a], want[b]))
+            want = [low if x == high else x for x in want]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    settled = []
+    whole = near_dups._settle
+    monkeypatch.setattr(near_dups, "_settle", lambda m, t: settled.append(m.count()) or whole(m, t))
+    found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == want and len(set(want)) > 10 and settled[0] > 8
+
+
 def test_word_hashes_follow_words(monkeypatch):
     monkeypatch.setattr(words, "CHUNK", 64)
     texts = [b"A b", None, b"", b"x" * 500 + b" y \x0b z", "é ß　q".encode(), b"a-b.c 12"] * 3
