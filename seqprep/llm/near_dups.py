@@ -7,8 +7,8 @@ all documents. Runs of ``ROWS`` bins form bands; documents that agree on a band
 
 Documents with equal sets are one node. A bucket links its nodes to one hub only, so it yields fewer
 pairs than it has members. Each pair is confirmed on the full sets. A hub then leaves its bucket, and
-buckets whose other members are not yet in one component choose another, by another order, until a
-round finds no new link. What is still in several components then is compared in blocks of a bucket,
+buckets whose other members are not yet in one component choose another, by another order, as long as
+a round settles half of them. What is in several components then is compared in blocks of a bucket,
 member by member but without a row per pair, so every two nodes of a bucket are compared or known to
 be connected.
 
@@ -43,6 +43,8 @@ LEAVES = 64
 #: Members of a block on average, and shingles, whichever makes more blocks.
 BLOCK = 256
 BLOCK_SHINGLES = 1 << 20
+#: Shingles of two blocks that are compared at once.
+COLUMNS = 8192
 
 _SIGNED = "doc_id bigint, _text bigint, n_shingles bigint, node binary, bands array<bigint>"
 
@@ -175,72 +177,68 @@ def _unsettled(members: DataFrame, roots: DataFrame, round_: int) -> DataFrame:
     return rest.join(ends.filter("_low <> _high").select("key"), "key", "left_semi")
 
 
-class _Block:
-    """Sets of one block, looked up together."""
-
-    def __init__(self, members: list[tuple]):
-        self.nodes, self.roots = [m[0] for m in members], np.array([m[1] for m in members], object)
-        self.sizes, self.bands = np.array([len(m[2]) for m in members]), np.array([m[3] for m in members])
-        values = np.concatenate([m[2] for m in members])
-        order = np.argsort(values, kind="stable")
-        self.values, self.owners = values[order], np.repeat(np.arange(len(members)), self.sizes)[order]
-
-    def similar(self, root: bytes, found: np.ndarray, bands: np.ndarray, band: int) -> np.ndarray:
-        """Members of other components similar to a set, whose first common band is ``band``."""
-        low, high = (np.searchsorted(self.values, found, side) for side in ("left", "right"))
-        width = high - low
-        at = np.repeat(high - np.cumsum(width), width) + np.arange(int(width.sum()))
-        both = np.bincount(self.owners[at], minlength=len(self.nodes))
-        close = 100 * both >= PERCENT * (self.sizes + len(found) - both)
-        close &= (self.bands == bands).argmax(axis=1) == band
-        return np.flatnonzero(close & (self.roots != root))
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``a`` with each of ``b``, ``COLUMNS`` values at a time."""
+    values = [np.concatenate(sets) for sets in (a, b)]
+    owners = [np.repeat(np.arange(len(sets)), [len(x) for x in sets]) for sets in (a, b)]
+    known = np.intersect1d(*values)
+    total, at = np.zeros((len(a), len(b)), np.int64), []
+    for side in (0, 1):
+        place = np.searchsorted(known, values[side])
+        held = known[np.minimum(place, len(known) - 1)] == values[side] if len(known) else place < 0
+        order = np.argsort(place[held], kind="stable")
+        at.append((place[held][order], owners[side][held][order]))
+    for start in range(0, len(known), COLUMNS):
+        marks = []
+        for sets, (place, owner) in zip((a, b), at):
+            low, high = np.searchsorted(place, (start, start + COLUMNS))
+            mark = np.zeros((len(sets), min(COLUMNS, len(known) - start)), np.float32)
+            mark[owner[low:high], place[low:high] - start] = 1
+            marks.append(mark)
+        total += (marks[0] @ marks[1].T).astype(np.int64)
+    return total
+
+
+def _linked(a: list[tuple], b: list[tuple]) -> list[tuple[bytes, bytes]]:
+    """Similar pairs of different components between members ``(node, root, set)`` of two blocks."""
+    if not a or not b:
+        return []
+    number = {root: i for i, root in enumerate({m[1] for m in (*a, *b)})}
+    roots = [np.array([number[m[1]] for m in side]) for side in (a, b)]
+    sizes = [np.array([len(m[2]) for m in side]) for side in (a, b)]
+    both = _common([m[2] for m in a], [m[2] for m in b])
+    close = 100 * both >= PERCENT * (sizes[0][:, None] + sizes[1][None] - both)
+    close &= roots[0][:, None] != roots[1][None]
+    return [(a[i][0], b[j][0]) for i, j in np.argwhere(close)]
 
 
 def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by cell, the cell's first block before its second; the linked pairs."""
-    cell, members, block = None, [], None
-
-    def inside() -> list[tuple[bytes, bytes]]:
-        """Pairs within the first block, in the cell that holds it alone."""
-        if cell is None or cell[1] != cell[2] or len(members) < 2:
-            return []
-        own = _Block(members)
-        return [
-            (own.nodes[j], node)
-            for i, (node, root, found, bands, band) in enumerate(members)
-            for j in own.similar(root, found, bands, band)
-            if j < i
-        ]
-
-    def record(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        columns = [pa.array([p[side] for p in pairs], pa.binary()) for side in (0, 1)]
+    """Rows of a cell come together; the linked pairs within its block or between its two."""
+    cell, sides = None, ([], [])
+
+    def pairs() -> pa.RecordBatch:
+        alone = cell is not None and cell[1] == cell[2]
+        found = _linked(sides[0], sides[0] if alone else sides[1])
+        columns = [pa.array([p[side] for p in found], pa.binary()) for side in (0, 1)]
         return pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
     for batch in batches:
         names = ("key", "i", "j", "kind", "node", "root")
-        rows, pairs = zip(*(batch.column(c).to_pylist() for c in names)), []
+        rows = zip(*(batch.column(c).to_pylist() for c in names))
         for row, words in zip(rows, word_lists(batch.column("_data").to_pylist())):
             *place, kind, node, root = row
             if cell != place:
-                pairs += inside()
-                cell, members, block = place, [], None
-            found = shingles(words)
-            bands = band_keys(found)
-            band = int((signed(bands) == place[0]).argmax())
-            if kind == 0:
-                members.append((node, root, found, bands, band))
-            elif members:
-                block = block or _Block(members)
-                pairs += [(block.nodes[j], node) for j in block.similar(root, found, bands, band)]
-        yield record(pairs)
-    yield record(inside())
+                yield pairs()
+                cell, sides = place, ([], [])
+            sides[kind].append((node, root, shingles(words)))
+    yield pairs()
 
 
 def _settle(members: DataFrame, texts: DataFrame) -> DataFrame:
     """All links between the components of each bucket, block against block.
 
     A bucket of ``k`` unsettled members makes about ``k * k / BLOCK`` rows and no row per pair. A
-    task holds one block at a time. Two nodes that share several buckets are compared in one.
+    task holds two blocks at a time.
     """
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     sizes = members.groupBy("key").agg(blocks.cast("bigint").alias("_of"))
@@ -255,7 +253,7 @@ def _settle(members: DataFrame, texts: DataFrame) -> DataFrame:
         "root",
     )
     rows = cells.join(texts, "node").repartition("key", "i", "j")
-    return rows.sortWithinPartitions("key", "i", "j", "kind").mapInArrow(_compare_cells, "u binary, v binary")
+    return rows.sortWithinPartitions("key", "i", "j").mapInArrow(_compare_cells, "u binary, v binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -286,7 +284,8 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     same = near["_text"].eqNullSafe(wanted["_key"]) & near["doc_id"].eqNullSafe(wanted["_id"])
     texts = written(near.join(wanted, same).select("node", "_data"), "texts")
 
-    members, roots, tried, round_ = _rooted(members, None), None, None, 0
+    members, left = _rooted(members, None), members.count()
+    roots, tried, round_ = None, None, 0
     while True:
         pairs = _pairs(members, round_)
         if tried is not None:
@@ -294,11 +293,10 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tried, same, "left_anti")
         pairs = written(pairs, "pairs")
         links = written(_confirm(pairs, texts), "confirmed")
-        none = bool(round_) and links.isEmpty()
-        if not none:
-            roots = components(links if roots is None else links.unionByName(roots))
+        roots = components(links if roots is None else links.unionByName(roots))
         members = written(_unsettled(members, roots, round_), "unsettled")
-        if none or members.isEmpty():
+        before, left = left, members.count()
+        if not left or 2 * left > before:
             break
         seen = pairs.select(F.least("hub", "node").alias("_a"), F.greatest("hub", "node").alias("_b"))
         tried = seen if tried is None else tried.unionByName(seen)
