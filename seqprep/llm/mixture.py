@@ -10,7 +10,7 @@ equal spans of finish time, which hold about equal numbers of words by construct
 per run or span cross a border.
 
 Defined results: sources in code point order, NULL last, weigh 5, 2, 1 and so on; a NULL or wordless
-text has size 0 and takes nothing; repeated rows each queue; rows without an id are ordered first.
+text has size 0 and takes nothing, also where its whole source is such; repeated rows each queue; rows without an id are ordered first.
 An empty table gives no rows. No other columns are read.
 """
 
@@ -103,11 +103,16 @@ def queued(rows: DataFrame) -> DataFrame:
         "rank",
         "source_size",
         "target",
-        (F.col("_sum") / F.col("target")).alias("first"),
-        ((F.col("_sum") + F.col("source_size")) / F.col("target")).alias("second"),
+        _over(F.col("_sum")).alias("first"),
+        _over(F.col("_sum") + F.col("source_size")).alias("second"),
     )
 
 
+def _over(words: Column) -> Column:
+    """``words`` by the target; 0 in a source without words, whose target is 0."""
+    return F.coalesce(F.try_divide(words.cast("double"), F.col("target")), F.lit(0.0))
+
+
 def _entry(turn: int) -> Column:
     """What orders the entries: finish time, then ties."""
     finish = F.col("second") if turn else F.col("first")

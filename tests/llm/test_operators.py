@@ -295,6 +295,20 @@ def test_mix_comes_near_its_targets(spark, sf_dir):
     assert abs(sum(s[0]["target"] for s in sources.values()) - 1.5 * total) < 1e-3
 
 
+def test_a_source_without_words_takes_nothing(spark):
+    wordless = [(10, None, "w"), (11, "", "w"), (12, " \n", None)]
+    worded = [(i, prose(i, 20 + i), "ab"[i % 2]) for i in range(8)]
+    schema = "doc_id bigint, text string, source string"
+    for rows in (wordless, wordless + worded):
+        docs = spark.createDataFrame(rows, schema)
+        found = {r["doc_id"]: r for r in mixture.mix(docs).collect()}
+        assert len(found) == len(rows)
+        assert all(found[i]["taken"] == 0 and found[i]["target"] == 0 for i in (10, 11, 12))
+        assert mixture.mixed(docs).count() == sum(r["copies"] for r in found.values())
+    alone = {r["doc_id"]: r["taken"] for r in mixture.mix(spark.createDataFrame(worded, schema)).collect()}
+    assert alone == {i: found[i]["taken"] for i in alone} and sum(alone.values()) > 0
+
+
 def test_languages_of_held_out_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     found = languages.identify(docs).filter("held_out").join(docs, "doc_id")
