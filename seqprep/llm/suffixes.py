@@ -12,6 +12,11 @@ The suffixes are sorted over value ranges, so a passage that a third of all docu
 spread; neighbours across a border are one suffix per range. Words are compared by 32 bits of their
 hash within a context, by 64 for the first 26.
 
+A neighbour shares the longest part to the right, which may not be the part that makes ``SPAN`` words
+with what lies to the left. So where three or more distinct contexts share their first 26 words, the
+windows of ``SPAN`` words that chose a suffix (25 at most) are hashed too, and those seen in two
+documents are matches. Every repeat of ``SPAN`` words is such a window.
+
 Defined results: a NULL text, or one shorter than ``SPAN`` words, has no spans; rows equal in
 ``doc_id`` and text are one document; repeats inside one document are not reported; a row without
 ``doc_id`` takes part and has NULL for its id. An empty table gives no rows. No other columns are
@@ -29,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.llm.frames import bit_set, likely, text_bytes, written
-from seqprep.llm.words import grams, minimisers, signed, word_lists
+from seqprep.llm.words import grams, minimisers, mix, signed, word_lists
 from seqprep.plans.storage import cut_lineage
 
 SPAN = 50
@@ -42,7 +47,7 @@ TAIL = WINDOW + 1
 #: Sorted suffixes of a range.
 RANGE_ROWS = 50_000
 
-_CONTEXT = "key bigint, tail binary, back binary, who bigint, doc_id bigint, at int"
+_CONTEXT = "key bigint, tail binary, back binary, who bigint, doc_id bigint, at int, least int, most int"
 
 
 def anchors(words: np.ndarray) -> np.ndarray:
@@ -55,6 +60,16 @@ def _keys(words: np.ndarray, at: np.ndarray) -> np.ndarray:
     return signed(grams(words, PREFIX)[at]) if len(at) else np.zeros(0, np.int64)
 
 
+def _chosen(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and most words before each anchor in the windows of ``SPAN`` words that chose it."""
+    values = grams(words, GRAM)
+    if len(words) < SPAN or not len(at):
+        return np.ones(len(at), np.int64), np.zeros(len(at), np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(values, WINDOW)[: len(words) - SPAN + 1]
+    by = view.argmin(axis=1) + np.arange(len(view))
+    return at - np.searchsorted(by, at, "right") + 1, at - np.searchsorted(by, at, "left")
+
+
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, places = [], []
@@ -79,19 +94,20 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = word_lists(batch.column("_data").to_pylist(), lower=False)
         wanted = batch.column("places").to_pylist()
         whos, ids = batch.column("who").to_pylist(), batch.column("doc_id").to_pylist()
-        out: list[list] = [[] for _ in range(6)]
+        out: list[list] = [[] for _ in range(8)]
         for words, places, who, doc_id in zip(texts, wanted, whos, ids):
+            least, most = _chosen(words, np.array(places, np.int64))
             keys = _keys(words, np.array(places, np.int64)).tolist()
             small = (words >> np.uint64(32)).astype(">u4")
-            for key, at in zip(keys, places):
+            for key, at, low, high in zip(keys, places, least.tolist(), most.tolist()):
                 end = at + PREFIX
                 row = (key, small[end : end + TAIL].tobytes(), small[max(0, at - LEFT) : at][::-1].tobytes())
-                for to, x in zip(out, (*row, who, doc_id, at)):
+                for to, x in zip(out, (*row, who, doc_id, at, low, high)):
                     to.append(x)
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()] + [pa.int32()] * 3
         yield pa.RecordBatch.from_arrays(
             [pa.array(x, kind) for x, kind in zip(out, kinds)],
-            ["key", "tail", "back", "who", "doc_id", "at"],
+            ["key", "tail", "back", "who", "doc_id", "at", "least", "most"],
         )
 
 
@@ -159,6 +175,47 @@ def _neighbours(first: dict[int, tuple], last: dict[int, tuple]) -> Callable:
     return run
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the windows that chose each suffix, and how many of their words lie before it."""
+    before = np.arange(LEFT + 1)
+    for batch in batches:
+        sums = []
+        for side, (name, width) in enumerate((("back", LEFT), ("tail", TAIL))):
+            cells, _ = _matrix(batch.column(name).to_pylist(), width)
+            places = mix(np.arange(1, width + 1, dtype=np.uint64) + np.uint64(side << 32))
+            total = np.zeros((len(cells), width + 1), np.uint64)
+            np.cumsum(mix(cells.astype(np.uint64) + places), axis=1, out=total[:, 1:])
+            sums.append(total)
+        keys, cid, low, high, least, most = (
+            batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+            for c in ("key", "cid", "low", "high", "least", "most")
+        )
+        starts = mix(mix(keys.view(np.uint64))[:, None] + before.astype(np.uint64))
+        hashes = signed(mix(starts + mix(sums[0][:, before]) + sums[1][:, LEFT - before]))
+        row, n = np.nonzero((before >= least[:, None]) & (before <= most[:, None]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (hashes[row, n], cid[row], low[row], high[row], n.astype(np.int32))],
+            ["window", "cid", "low", "high", "n"],
+        )
+
+
+def _window_matches(distinct: DataFrame) -> DataFrame:
+    """``(cid, l, r)``: the stretch of all windows around a suffix that two documents hold.
+
+    All windows of a suffix hold its first word, so their union is one stretch. A suffix of several
+    documents is matched whole and only helps to find others.
+    """
+    crowded = distinct.groupBy("key").count().filter("count > 2").select("key")
+    rows = distinct.join(crowded, "key", "left_semi").filter("least <= most")
+    rows = rows.select("key", "tail", "back", "cid", "low", "high", "least", "most")
+    kinds = "window bigint, cid bigint, low bigint, high bigint, n int"
+    ends = rows.mapInArrow(_windows, kinds).groupBy("window").agg(F.min("low").alias("_low"), F.max("high").alias("_high"))
+    shared = ends.filter("_low <> _high").select("window")
+    own = rows.filter("low = high").mapInArrow(_windows, kinds).select("window", "cid", "n")
+    found = own.join(shared, "window").groupBy("cid")
+    return found.agg(F.max("n").alias("l"), (F.lit(SPAN) - F.min("n")).alias("r"))
+
+
 def _merged(spans: Column) -> Column:
     """Sorted spans as disjoint ones: the open span at the end of the state, others before it."""
     none = F.array().cast("array<struct<low:int,high:int>>")
@@ -181,11 +238,13 @@ def _matches(suffixes: DataFrame) -> DataFrame:
         F.first("back").alias("back"),
         F.min("who").alias("low"),
         F.max("who").alias("high"),
+        F.first("least").alias("least"),
+        F.first("most").alias("most"),
     )
     distinct = written(distinct, "suffixes")
     ranges = max(1, math.ceil(distinct.count() / RANGE_ROWS))
     order = ["key", "tail", "back", "cid"]
-    ordered = distinct.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ordered = distinct.drop("least", "most").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     ordered = cut_lineage(ordered).withColumn("part", F.spark_partition_id())
     edge = F.struct("key", "tail", "back", "cid", "low", "high")
     ends = ordered.groupBy("part").agg(F.min(edge).alias("first"), F.max(edge).alias("last")).collect()
@@ -194,7 +253,8 @@ def _matches(suffixes: DataFrame) -> DataFrame:
         {e["part"]: tuple(bytes(v) if isinstance(v, bytearray) else v for v in (e[side][c] for c in cells)) for e in ends}
         for side in ("first", "last")
     )
-    return ordered.mapInArrow(_neighbours(first, last), "cid bigint, l int, r int")
+    matched = ordered.mapInArrow(_neighbours(first, last), "cid bigint, l int, r int")
+    return matched.unionByName(_window_matches(distinct))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:

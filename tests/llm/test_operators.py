@@ -193,6 +193,31 @@ def test_repeated_spans_equal_all_windows(spark):
     assert found == covered
 
 
+def test_passages_quoted_from_different_starts(spark):
+    """The neighbour in sorted order may share more to the right and too little in all."""
+    pick, docs = random.Random(9), []
+    own = lambda: prose(pick.randrange(10**9), pick.randrange(0, 40), 10**6).split()
+    for group in range(25):
+        passage = prose(5000 + group, 100, 10**6).split()
+        cuts = [(0, 100), (0, 60), *[(pick.choice((5, 20, pick.randrange(40))), 100) for _ in range(group)]]
+        docs += [" ".join([*own(), *passage[a:b], *own()]) for a, b in cuts]
+    seen = defaultdict(set)
+    windows = [list(zip(*[t.split()[k:] for k in range(suffixes.SPAN)])) for t in docs]
+    for i, found in enumerate(windows):
+        for window in found:
+            seen[window].add(i)
+    covered = defaultdict(set)
+    for i, found in enumerate(windows):
+        for k, window in enumerate(found):
+            if len(seen[window]) > 1:
+                covered[i].update(range(k, k + suffixes.SPAN))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").repartition(3)
+    spans = defaultdict(set)
+    for row in suffixes.repeated_spans(df).collect():
+        spans[row["doc_id"]].update(range(row["start_word"], row["end_word"]))
+    assert spans == covered
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     pick, docs = random.Random(6), []
     for group in range(12):
