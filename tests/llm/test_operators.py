@@ -383,6 +383,24 @@ def test_licenses(spark):
     assert all(r["exact"] for r in found if r["doc_id"] != 3)
 
 
+def test_wrapped_licenses(spark):
+    """Every template wrapped at 60 to 80 columns, alone, as a comment and between lines of prose."""
+    rows, want = [], {}
+    for name, text in licenses.TEMPLATES.items():
+        for width in (60, 66, 72, 80):
+            for lead in ("", " * ", "# "):
+                lines = textwrap.wrap(text, width, initial_indent=lead, subsequent_indent=lead, break_on_hyphens=False)
+                for around in ([], [lead + prose(width, 9)] * 3):
+                    want[len(rows)] = (name, len(around), len(around) + len(lines) - 1, True)
+                    rows.append((len(rows), "\n".join([*around, *lines, *around])))
+    gpl = "This work is licensed under the GNU General Public License,\nversion 2.\nMore."
+    want[len(rows)] = ("gpl-2.0", 0, 1, True)
+    rows.append((len(rows), gpl))
+    found = licenses.license_notices(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert {r["doc_id"]: (r["license"], r["first_line"], r["last_line"], r["exact"]) for r in found} == want
+    assert len(found) == len(rows)
+
+
 def test_host_rates_shrink_and_condemn(spark):
     bad, good = " ".join(["a b c d e f"] * 10), prose(5, 40, 10**6)
     rows = [(i, bad if i % 10 else good, "spam") for i in range(100)]
