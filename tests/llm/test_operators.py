@@ -401,6 +401,31 @@ def test_wrapped_licenses(spark):
     assert len(found) == len(rows)
 
 
+def test_several_licenses_of_a_text(spark):
+    apache, mit, isc = (textwrap.wrap(licenses.TEMPLATES[x], 70) for x in ("apache-2.0-header", "mit-full", "isc"))
+    long = "The license of this work is told below. " + prose(4, 200)
+    short = "Licensed under CC BY 4.0. All rights reserved. Released under the MIT License."
+    rows = [
+        (1, "\n".join([*apache, "", *mit])),
+        (2, "\n".join([long, *mit])),
+        (3, "\n".join([*mit, *mit, *isc, "All rights reserved."])),
+        (4, short),
+        (5, "\n".join([*apache, "", long, "", *isc, long])),
+    ]
+    found = defaultdict(list)
+    for r in licenses.license_notices(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        assert r["exact"] and r["reduction"] > 0
+        found[r["doc_id"]].append((r["first_line"], r["license"]))
+    n, m, k = len(apache), len(mit), len(isc)
+    assert {i: sorted(x) for i, x in found.items()} == {
+        1: [(0, "apache-2.0-header"), (n + 1, "mit-full")],
+        2: [(1, "mit-full")],
+        3: [(0, "mit-full"), (m, "mit-full"), (2 * m, "isc"), (2 * m + k, "all-rights-reserved")],
+        4: [(0, "all-rights-reserved"), (0, "cc-by-4.0"), (0, "mit")],
+        5: [(0, "apache-2.0-header"), (n + 3, "isc")],
+    }
+
+
 def test_host_rates_shrink_and_condemn(spark):
     bad, good = " ".join(["a b c d e f"] * 10), prose(5, 40, 10**6)
     rows = [(i, bad if i % 10 else good, "spam") for i in range(100)]
