@@ -51,11 +51,14 @@ def to_chat_requests(
 
 
 def write_chat_requests(requests: DataFrame, path: str) -> None:
-    """One request per line, those of one part: a line must be a record.
+    """One request per line under ``path``; requests of several parts under ``path`` + ``_parts``.
 
-    A request in several parts holds up no other; ``requests.filter("parts > 1")`` are those left.
+    There each part is a JSON line of the key, ``part``, ``parts`` and ``body``; a request is the
+    concatenation of its bodies by ``part``. A line of ``path`` is always a whole record.
     """
     requests.filter("parts = 1").select("body").write.mode("overwrite").text(path)
+    rest = requests.filter("parts > 1").write.mode("overwrite").option("ignoreNullFields", "false")
+    rest.json(f"{path.rstrip('/')}_parts")
 
 
 def read_chat_responses(df: DataFrame, json_col: str) -> DataFrame:

@@ -64,6 +64,17 @@ def test_requests_are_written_one_to_a_line(spark, long_talk, tmp_path):
     assert spark.read.json(path).count() == parts.filter("parts = 1").count() < 3
 
 
+def test_requests_of_several_parts_are_written_too(spark, long_talk, tmp_path):
+    path = str(tmp_path / "requests")
+    parts = chat_records.to_chat_requests(long_talk, "m", 9, part_turns=4)
+    chat_records.write_chat_requests(parts, path)
+    back = spark.read.schema(parts.schema).json(f"{path}_parts")
+    long = parts.filter("parts > 1")
+    assert sorted(back.collect()) == sorted(long.collect()) and long.count() > 1
+    chat_records.write_chat_requests(parts.filter("parts = 1"), path)
+    assert spark.read.schema(parts.schema).json(f"{path}_parts").isEmpty()
+
+
 def test_parts_go_by_rank(spark, long_talk):
     moved = long_talk.withColumn("turn", F.col("turn") + 1020)
     plain = chat_records.to_chat_requests(long_talk, "m", 9, part_turns=4)
