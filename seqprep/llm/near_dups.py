@@ -258,7 +258,7 @@ def _settle(members: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
-    return _near_duplicates(docs).drop("_text")
+    return _near_duplicates(docs).drop("_text", "root")
 
 
 def _near_duplicates(docs: DataFrame) -> DataFrame:
@@ -306,10 +306,10 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
         roots = components(links.unionByName(roots))
     rooted = _rooted(nodes.select("node", "first_id"), roots)
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_node = rooted.select("node", "root").join(first, "root").select("node", "component_id")
+    of_node = rooted.select("node", "root").join(first, "root").select("node", "root", "component_id")
     out = signs.select("doc_id", "_text", "n_shingles", "node").join(of_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "_text", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "_text", "n_shingles", component.alias("component_id"), "root")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.withColumn("kept", kept)
 
@@ -317,19 +317,22 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group; columns as they were.
 
-    The row with the least id stays, of several with that id the one with the least text hash, and
-    of equal ones any. Rows without words all stay. The texts are joined by sorting at every size, so
-    a small table runs the plan of a large one.
+    The row with the least id stays (one without an id if all are), of several with that id the one
+    with the least text hash, and of equal ones any. Groups are told apart by their root, as unrelated
+    texts may carry one id. Rows without words all stay. The texts are joined by sorting at every
+    size, so a small table runs the plan of a large one.
     """
-    found = written(_near_duplicates(docs), "near_dups")
-    linked = found.filter("kept and n_shingles > 0")
-    many = linked.groupBy("component_id").agg(F.count("*").alias("_n"), F.min("_text").alias("_first"))
-    many = written(many.filter("_n > 1").withColumnRenamed("component_id", "_of"), "repeated")
-    gone = found.filter("not kept").select("doc_id", "_text")
-    if many.isEmpty():
-        return without(docs, gone.distinct().hint("merge"))
-    tied = linked.join(many, F.col("component_id").eqNullSafe(F.col("_of")))
-    tied = tied.filter("component_id is not null").select("doc_id", "_text", "_first").distinct()
-    once = without(docs, gone.unionByName(tied.select("doc_id", "_text")).distinct().hint("merge"))
-    first = tied.filter("_text <=> _first").select("doc_id", "_text")
-    return once.unionByName(without(docs, first, "left_semi").dropDuplicates(["doc_id", "text"]))
+    found = written(_near_duplicates(docs), "near_dups").filter("root is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_text")
+    firsts = found.groupBy("root").agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+    firsts = firsts.filter("_n > 1").select(F.col("root").alias("_of"), "_first")
+    named = found.join(firsts, found["root"] == F.col("_of"))
+    first = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & F.col("_text").eqNullSafe(F.col("_first._text"))
+    groups = named.groupBy("doc_id", "_text").agg(F.max(first).alias("first"), F.count("*").alias("n"))
+    groups = written(groups, "groups")
+    gone = groups.filter("not first").select("doc_id", "_text")
+    equal = groups.filter("first and n > 1").select("doc_id", "_text")
+    if equal.isEmpty():
+        return without(docs, gone.hint("merge"))
+    once = without(docs, gone.unionByName(equal).hint("merge"))
+    return once.unionByName(without(docs, equal, "left_semi").dropDuplicates(["doc_id", "text"]))

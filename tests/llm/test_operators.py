@@ -134,6 +134,18 @@ def test_filters_keep_columns_and_whole_rows(awkward, items):
     assert mixed.count() == taken.agg(F.sum("copies")).first()[0]
 
 
+def test_one_row_of_each_group_whatever_its_ids(spark):
+    """Unrelated texts may carry one id, and copies may carry none."""
+    one, other, third = (prose(i, 60, 10**6) for i in (61, 62, 63))
+    rows = [(1, one), (1, one), (1, other), (2, other + " x"), (None, third), (None, third), (None, third + " y")]
+    rows += [(3, None), (3, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = near_dups.drop_near_duplicates(docs).collect()
+    worded = [(r["doc_id"], r["text"]) for r in kept if r["text"]]
+    assert sorted(worded[i] for i in range(len(worded)) if worded[i][0]) == sorted([(1, one), (1, other)])
+    assert len([t for i, t in worded if i is None]) == 1 and len(kept) == 6
+
+
 def test_links_past_hubs_are_found(spark, monkeypatch):
     """Texts around one passage share buckets, few are similar, and none is to all hubs."""
     monkeypatch.setattr(near_dups, "BLOCK", 4)
