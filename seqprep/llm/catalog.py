@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seqprep.llm import (
     decontaminate,
     edits,
+    filter_audit,
     host_rules,
     languages,
     licenses,
@@ -18,6 +19,7 @@ from seqprep.llm import (
     neural_lm,
     shards,
     suffixes,
+    url_filters,
 )
 from seqprep.plans.inputs import table
 
@@ -80,6 +82,16 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_decision_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -93,5 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_hyperdimensional,
         op9_log_bilinear,
         op10_winnowing,
+        op11_link_graph,
+        op13_decision_diagrams,
     )
 }

@@ -115,9 +115,99 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN x USING (doc_id) LEFT JOIN y USING (doc_id)
 """
 
+_HREF = r"""href\s*=\s*["'']?\s*([a-z][a-z0-9+.-]*:)?//[^/?#"''\s<>\\]+"""
+_SMALL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _op11(steps: int = 20) -> str:
+    """Rules as a table; each step of the propagation is one more subquery."""
+    walk = [
+        f"""
+x{i} AS (
+  SELECT kind, dst AS host, sum(floor(rank * 0.85::DOUBLE * pages / wide)::BIGINT)::BIGINT AS rank
+  FROM x{i - 1} JOIN e USING (kind, host) GROUP BY 1, 2)"""
+        for i in range(1, steps + 1)
+    ]
+    every = " UNION ALL ".join(f"SELECT * FROM x{i}" for i in range(steps + 1))
+    return rf"""
+WITH p AS (
+  SELECT page_id, html, {_SMALL.format("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")} AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path, row_number() OVER () AS nr
+  FROM pages),
+u(verdict, rule) AS (
+  VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'),
+         ('block', 'com/de/')),
+v AS (
+  SELECT nr, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM p JOIN u ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+               AND starts_with(path, substr(rule, strpos(rule, '/')))
+  GROUP BY 1),
+r AS (SELECT p.*, rule, verdict FROM p LEFT JOIN v USING (nr)),
+k AS (
+  SELECT DISTINCT nr, host AS src,
+         {_SMALL.format("regexp_extract(h, '//([^/?#]+)', 1)")} AS dst
+  FROM (SELECT nr, host, unnest(regexp_extract_all(html, '{_HREF}', 0, 'i')) AS h FROM p)),
+g AS (SELECT src, dst, count(*) AS pages FROM k WHERE src <> dst AND src <> '' GROUP BY 1, 2),
+b AS (SELECT 'trust' AS kind, src AS host, dst, pages FROM g UNION ALL SELECT 'distrust', dst, src, pages FROM g),
+e AS (SELECT *, sum(pages) OVER (PARTITION BY kind, host) AS wide FROM b),
+x0 AS (
+  SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host,
+         floor(count(*) * 1000000 * (1 - 0.85::DOUBLE))::BIGINT AS rank
+  FROM r WHERE verdict IS NOT NULL GROUP BY 1, 2),{",".join(walk)},
+s AS (
+  SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0)::BIGINT AS t,
+         coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0)::BIGINT AS d
+  FROM ({every}) GROUP BY 1)
+SELECT page_id, r.host, path, rule,
+       coalesce(verdict, CASE WHEN coalesce(d, 0) > (coalesce(t, 0) + coalesce(d, 0)) * 0.5::DOUBLE THEN 'block' ELSE 'allow' END)
+         AS verdict,
+       coalesce(t, 0) / 1000000::DOUBLE AS trust, coalesce(d, 0) / 1000000::DOUBLE AS distrust
+FROM r LEFT JOIN s ON r.host = s.host
+"""
+
+
+OP13 = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws
+  FROM documents),
+i AS (SELECT t, min(doc_id) AS first FROM w GROUP BY 1),
+l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END) ||
+         (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END) ||
+         (CASE WHEN 100 * length(regexp_replace(w.t, '[^A-Z]', '', 'g')) > 2 * length(w.t) THEN 'C' ELSE '' END) ||
+         (CASE WHEN regexp_matches(w.t, '[#$%&*|]') THEN 'D' ELSE '' END) ||
+         (CASE WHEN w.doc_id > first THEN 'E' ELSE '' END) AS mask
+  FROM w JOIN i ON w.t = i.t LEFT JOIN l ON w.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY 1, 2),
+a(f) AS (SELECT unnest(['A', 'B', 'C', 'D', 'E'])),
+o AS (
+  SELECT p.f || q.f || r.f || s.f || t.f AS filter_order FROM a p, a q, a r, a s, a t
+  WHERE len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5),
+z AS (
+  SELECT c.*, filter_order, step, filter_order[step] AS f, contains(mask, filter_order[step]) AS hit,
+         length(translate(mask, filter_order[1:step - 1], '')) < length(mask) AS gone
+  FROM c, o, (SELECT unnest(range(1, 6)) AS step)),
+g AS (
+  SELECT part, filter_order, step::INT AS step, f,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT hit), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND hit), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE gone AND hit), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE mask = f), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND hit), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT gone AND hit), 0)::BIGINT AS toxic_lost
+  FROM z GROUP BY 1, 2, 3, 4)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM g
+"""
+
 ORACLE_SQL = {
     "op3_host_rules": OP3,
     "op5_minhash_oph": OP5,
     "op7_fair_queueing": OP7,
     "op10_winnowing": OP10,
+    "op11_link_graph": _op11(),
+    "op13_decision_diagrams": OP13,
 }
