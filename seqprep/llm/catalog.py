@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm import (
+    alignment,
     decontaminate,
     edits,
     filter_audit,
@@ -86,6 +87,10 @@ def op11_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_decision_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_log_bilinear,
         op10_winnowing,
         op11_link_graph,
+        op12_shared_cuts,
         op13_decision_diagrams,
     )
 }
