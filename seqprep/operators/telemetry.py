@@ -136,6 +136,11 @@ def run_summary(
     )
     per_clock = per_clock.withColumnRenamed("run_id", "_run")
     joined = per_event.join(per_clock, per_event["run_id"].eqNullSafe(per_clock["_run"]), "left")
+    return measured(joined, block)
+
+
+def measured(runs: DataFrame, block: Number) -> DataFrame:
+    """The columns of :func:`run_summary` from what was gathered of each run."""
     tail = F.col("_last") - F.col("_clock._us")
     tail_steps = F.col("_last_step") - F.col("_clock.step")
     tail_tps = tokens_per_second(block, F.col("_batch"), tail_steps, seconds(tail))
@@ -143,7 +148,7 @@ def run_summary(
     counted = F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))
     total_us = F.when(no_interval, tail).otherwise(F.col("_sum_us"))
     divisor = (counted * F.col("_k") - 1).cast("double")
-    measured = joined.select(
+    found = runs.select(
         "run_id",
         F.coalesce(F.col("_n"), F.lit(0)).alias("intervals"),
         F.when(no_interval, tail_tps).otherwise(F.col("_avg_tps")).alias("avg_tps"),
@@ -155,7 +160,7 @@ def run_summary(
         ),
     )
     total = F.col("train_seconds") + F.col("warm_up_seconds") + F.col("eval_seconds")
-    return measured.withColumn("total_seconds", total)
+    return found.withColumn("total_seconds", total)
 
 
 def run_eta(summary: DataFrame, steps: Number, epochs: Number) -> DataFrame:

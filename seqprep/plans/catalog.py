@@ -9,11 +9,20 @@ from pyspark.sql import functions as F
 
 from seqprep.functions import scalars, sequences
 from seqprep.functions import text as texts
-from seqprep.operators import aggregates, batching, ranges, shaping, splits, telemetry, vocab
+from seqprep.operators import (
+    aggregates,
+    batching,
+    ranges,
+    run_state,
+    shaping,
+    splits,
+    telemetry,
+    vocab,
+)
 from seqprep.operators.rows import map_rows as apply_rows
 from seqprep.plans import inputs, prepare, storage
 from seqprep.sources import chat_records, datasets, run_logs
-from seqprep.streaming import throughput
+from seqprep.streaming import incremental, throughput
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +38,7 @@ LOG_STEPS = 5
 NO_LOG_STEPS = 1_000
 RUN_STEPS = 10_000
 SPAN_SECONDS = 7 * 86_400
+TICK_SECONDS = 86_400
 
 QUERIES: dict[str, Query] = {}
 
@@ -442,6 +452,18 @@ def run_summary_no_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(_summary(spark, sf_dir, NO_LOG_STEPS))
 
 
+@query
+def run_summary_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state per run and day, merged to months and then to runs; no events are read twice."""
+    days = run_state.stretch_states(
+        _events(spark, sf_dir), LOG_STEPS, F.col("train_batch"), F.to_date("ts")
+    )
+    month = F.trunc(run_state.STRETCH, "month")
+    months = run_state.merge_states([days.withColumn(run_state.STRETCH, month)], [run_state.STRETCH])
+    whole = run_state.merge_states([months.drop(run_state.STRETCH)])
+    return _comparable(run_state.state_summary(whole, TOKENS_BLOCK))
+
+
 @query
 def run_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     estimate = telemetry.run_eta(_summary(spark, sf_dir, LOG_STEPS), RUN_STEPS, EPOCHS)
@@ -497,47 +519,102 @@ def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_throughput_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from the Python fold that releases each record by itself."""
+    """The same from keyed state with timers, which releases each record by itself."""
     target = _streamed(spark, sf_dir, by_record=True)
     found = throughput.stream_intervals(spark, target, TOKENS_BLOCK, BATCH)
     return found.drop("ts", "learning_rate")
 
 
+@query
+def stream_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches in no order of time and a short delay: most records come late, and none is lost."""
+    target = _streamed(spark, sf_dir, by_record=True, delay="1 hour", files=4)
+    found = throughput.stream_intervals(spark, target, TOKENS_BLOCK, BATCH)
+    return found.drop("ts", "learning_rate")
+
+
 @query
 def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = throughput.stream_intervals(spark, _streamed(spark, sf_dir), TOKENS_BLOCK, BATCH)
     return _comparable(throughput.stream_summary(found, LOG_STEPS))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, by_record: bool = False) -> str:
-    """Folder of the clock records of the event stream, all released.
-
-    The whole event table is read as a stream of files in no order of time. A last event far in
-    the future, of no run, moves the watermark past everything else.
-    """
-    source = storage.write_new(inputs.run_events(spark, sf_dir), "stream")
-    target = storage.scratch_path(spark, "intervals")
-    events = spark.read.parquet(source)
-    shape = events.schema
+@query
+def stream_summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run report, kept up to date by every batch of a stream in no order of time."""
+    source, target = _event_files(spark, sf_dir, files=4), storage.scratch_path(spark, "totals")
 
     def run_to_end() -> None:
-        arriving = spark.readStream.schema(shape).parquet(source)
         throughput.finish(
-            throughput.stream_throughput(
-                arriving, LOG_STEPS, "60 days", target, SPAN_SECONDS, by_record
+            incremental.stream_summary_incremental(
+                _arriving(spark, source, 1),
+                LOG_STEPS,
+                F.col("train_batch"),
+                "1 hour",
+                target,
+                SPAN_SECONDS,
+                TICK_SECONDS,
             )
         )
 
     run_to_end()
+    _end_stream(spark, source)
+    run_to_end()
+    found = incremental.RunTotals(spark, target).summary(TOKENS_BLOCK)
+    return _comparable(found.filter("run_id is not null"))
+
+
+def _event_files(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """The whole event table in files of no order of time."""
+    events = inputs.run_events(spark, sf_dir)
+    return storage.write_new(events.repartition(files, "seq") if files else events, "stream")
+
+
+def _arriving(spark: SparkSession, source: str, per_batch: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(spark.read.parquet(source).schema)
+    reader = reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader
+    return reader.parquet(source)
+
+
+def _end_stream(spark: SparkSession, source: str) -> None:
+    """A last event far in the future, of no run, moves the watermark past everything else."""
+    events = spark.read.parquet(source)
     known = {
         "ts": F.max("ts") + F.expr("interval 120 days"),
         "kind": F.lit("begin"),
         "step": F.lit(0).cast("bigint"),
     }
     sentinel = events.agg(
-        *[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in shape]
+        *[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in events.schema]
     )
     sentinel.write.mode("append").parquet(source)
+
+
+def _streamed(
+    spark: SparkSession,
+    sf_dir: str,
+    by_record: bool = False,
+    delay: str = "60 days",
+    files: int | None = None,
+) -> str:
+    """Folder of the clock records of the event stream, all released; a file is a batch if counted."""
+    source, target = _event_files(spark, sf_dir, files), storage.scratch_path(spark, "intervals")
+
+    def run_to_end() -> None:
+        throughput.finish(
+            throughput.stream_throughput(
+                _arriving(spark, source, 1 if files else None),
+                LOG_STEPS,
+                delay,
+                target,
+                SPAN_SECONDS,
+                by_record,
+                TICK_SECONDS,
+            )
+        )
+
+    run_to_end()
+    _end_stream(spark, source)
     run_to_end()
     return target
 

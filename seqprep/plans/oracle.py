@@ -331,6 +331,7 @@ ORACLE_SQL["present_loss"] = f"""
 WITH {_RUNS} SELECT run_id, seq, loss FROM runs WHERE loss IS NOT NULL"""
 ORACLE_SQL["interval_throughput"] = _intervals("train_batch")
 ORACLE_SQL["run_summary"] = _summary(LOG_STEPS)
+ORACLE_SQL["run_summary_by_days"] = ORACLE_SQL["run_summary"]
 ORACLE_SQL["run_summary_no_interval"] = _summary(NO_LOG_STEPS)
 ORACLE_SQL["run_eta"] = f"""
 {_measured(LOG_STEPS, "train_batch")},
@@ -353,6 +354,8 @@ SELECT run_id, strftime(ts, '%y%m%d_%H%M%S') AS log,
 FROM lines JOIN started USING (run_id)"""
 ORACLE_SQL["stream_throughput"] = _intervals(str(BATCH))
 ORACLE_SQL["stream_throughput_by_record"] = ORACLE_SQL["stream_throughput"]
+ORACLE_SQL["stream_late_records"] = ORACLE_SQL["stream_throughput"]
+ORACLE_SQL["stream_summary_incremental"] = ORACLE_SQL["run_summary"]
 ORACLE_SQL["stream_summary"] = f"""
 WITH {_RUNS}, {_timed(LOG_STEPS, str(BATCH))}
 SELECT run_id, count(*) AS intervals, round(avg(tps), 6) AS avg_tps,

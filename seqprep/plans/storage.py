@@ -86,6 +86,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return storage.exists(marker)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders at ``path``; none if there is no such folder."""
+    found, storage = _hadoop_path(spark, path)
+    return [x.getPath().getName() for x in storage.listStatus(found)] if storage.exists(found) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table that this library wrote, if it is there."""
+    found, storage = _hadoop_path(spark, path)
+    storage.delete(found, True)
+
+
 def read_spread(spark: SparkSession, path: str, *key: str) -> DataFrame:
     """Read parquet; rows of a table too small to reach every core are exchanged by ``key``.
 

@@ -4,19 +4,17 @@ State is kept per run *and* span of time, so a run of any size is folded by many
 state never holds more than a span. Clock records leave the state behind the watermark, each with
 the clock record before it in its span; the first record of a span gets its predecessor from the
 last record of the run's span before, when the written table is read. The sink is a parquet file
-sink: a retried batch never shows twice.
+sink: a retried batch never shows twice. Records that came late lie beside the others, and their
+spans are put in order again when the table is read.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from contextlib import nullcontext
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from seqprep.functions.scalars import MICROS, seconds
 from seqprep.operators.telemetry import (
@@ -26,54 +24,9 @@ from seqprep.operators.telemetry import (
     tokens_per_second,
 )
 from seqprep.operators.shaping import require_columns
+from seqprep.streaming.records import SPAN_SECONDS, TICK_SECONDS, record_stream, rocks_store
 
 FIELDS = ["us", "seq", "step", "loss", "learning_rate", "yields"]
-SPAN_SECONDS = 3_600
-STATE_SCHEMA = """
-  us array<bigint>, seq array<bigint>, step array<bigint>, loss array<double>,
-  learning_rate array<double>, yields array<boolean>, clock_us bigint, clock_step bigint
-"""
-OUTPUT_FIELDS = ["run_id", "span", *FIELDS, "before_us", "before_step"]
-OUTPUT_COLUMNS = """
-  span bigint, us bigint, seq bigint, step bigint, loss double, learning_rate double,
-  yields boolean, before_us bigint, before_step bigint
-"""
-
-
-def _fold(span_us: int):
-    """The state update of one (run, span): hold back, order, and pass on behind the watermark."""
-
-    def fold(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        run_id, span = key
-        held: list[tuple] = []
-        clock = (None, None)
-        if state.exists:
-            *columns, clock_us, clock_step = state.get
-            held.extend(zip(*columns, strict=True))
-            clock = (clock_us, clock_step)
-        for batch in batches:
-            held.extend(zip(*(batch[name].tolist() for name in FIELDS), strict=True))
-        held.sort(key=lambda record: record[:2])
-        watermark_ms = state.getCurrentWatermarkMs()
-        passed = bisect_right(held, watermark_ms * 1_000, key=lambda record: record[0])
-        if passed:
-            ready = held[:passed]
-            before = [clock, *((record[0], record[2]) for record in ready[:-1])]
-            clock = (ready[-1][0], ready[-1][2])
-            rows = [(run_id, span, *r, *b) for r, b in zip(ready, before, strict=True)]
-            out = pd.DataFrame(rows, columns=OUTPUT_FIELDS)
-            yield out.astype({"before_us": "Int64", "before_step": "Int64"})
-        rest = held[passed:]
-        span_end_ms = ((int(span) + 1) * span_us) // 1_000 + 1
-        if not rest and span_end_ms <= watermark_ms:
-            state.remove()
-            return
-        columns = zip(*rest, strict=True) if rest else ([] for _ in FIELDS)
-        state.update((*map(list, columns), *clock))
-        wake_ms = rest[0][0] // 1_000 + 1 if rest else span_end_ms
-        state.setTimeoutTimestamp(max(wake_ms, watermark_ms + 1))
-
-    return fold
 
 
 def _clock_records(events: DataFrame, logging_steps: int, delay: str) -> DataFrame:
@@ -118,29 +71,6 @@ def clock_stream(
     )
 
 
-def clock_stream_by_record(
-    events: DataFrame, logging_steps: int, delay: str, span_seconds: int = SPAN_SECONDS
-) -> DataFrame:
-    """The same rows, each as soon as the watermark has passed the record itself.
-
-    The state is kept by a Python fold, which costs more per run and span.
-    """
-    span_us = span_seconds * MICROS
-    run_type = events.schema["run_id"].dataType.simpleString()
-    clock = (
-        _clock_records(events, logging_steps, delay)
-        .withColumn("span", F.floor(F.col("us") / span_us).cast("bigint"))
-        .select("run_id", "span", "ts", *FIELDS)
-    )
-    return clock.groupBy("run_id", "span").applyInPandasWithState(
-        _fold(span_us),
-        f"run_id {run_type}, {OUTPUT_COLUMNS}",
-        STATE_SCHEMA,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
-
-
 def stream_throughput(
     events: DataFrame,
     logging_steps: int,
@@ -148,22 +78,27 @@ def stream_throughput(
     path: str,
     span_seconds: int = SPAN_SECONDS,
     by_record: bool = False,
+    tick_seconds: int = TICK_SECONDS,
 ) -> StreamingQuery:
     """Start the stream for what is available now; clock records are appended under ``path``.
 
     Records closer than ``delay`` to the newest event stay in the state until later events move
-    the watermark on.
+    the watermark on. ``by_record`` releases each record by itself and keeps late ones; without it a
+    span leaves as a whole, by Spark's own windowed aggregation, and late records are an error.
     """
-    source = clock_stream_by_record if by_record else clock_stream
-    return (
-        source(events, logging_steps, delay, span_seconds)
-        .writeStream.outputMode("append")
+    if by_record:
+        rows = record_stream(events, logging_steps, delay, span_seconds, tick_seconds).drop("at")
+    else:
+        rows = clock_stream(events, logging_steps, delay, span_seconds)
+    sink = (
+        rows.writeStream.outputMode("append")
         .format("parquet")
         .option("path", f"{path}/clock")
         .option("checkpointLocation", f"{path}/progress")
         .trigger(availableNow=True)
-        .start()
     )
+    with rocks_store(events.sparkSession) if by_record else nullcontext():
+        return sink.start()
 
 
 def finish(query: StreamingQuery, poll_seconds: int = 5) -> None:
@@ -182,15 +117,34 @@ def finish(query: StreamingQuery, poll_seconds: int = 5) -> None:
         raise RuntimeError(f"{late} records arrived after the watermark; use a longer delay")
 
 
+def mended(rows: DataFrame) -> DataFrame:
+    """Written records, with the record before each found anew in spans that got late ones.
+
+    Only those spans of those runs are put in order again; the others are passed as they are.
+    """
+    key = [F.col("run_id").alias("_run"), F.col("span").alias("_span")]
+    touched = rows.filter("late").select(*key, F.lit(True).alias("_mend")).distinct()
+    same = F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("span") == F.col("_span"))
+    marked = rows.join(touched, same, "left").drop("_run", "_span")
+    order = Window.partitionBy("run_id", "span").orderBy("us", "seq")
+    again = marked.filter("_mend").withColumns(
+        {"before_us": F.lag("us").over(order), "before_step": F.lag("step").over(order)}
+    )
+    return marked.filter("_mend is null").unionByName(again).drop("_mend", "late")
+
+
 def stream_intervals(spark: SparkSession, path: str, block: int, batch: int) -> DataFrame:
     """Interval rows of the clock records written so far."""
     rows = spark.read.parquet(f"{path}/clock")
+    rows = mended(rows) if "late" in rows.columns else rows
     last = rows.groupBy("run_id", "span").agg(F.max(F.struct("us", "seq", "step")).alias("_last"))
     carried = last.select(
         "run_id", "span", F.lag("_last").over(Window.partitionBy("run_id").orderBy("span")).alias("_c")
     )
     inner = rows.filter(F.col("before_us").isNotNull())
-    first = rows.filter(F.col("before_us").isNull()).join(carried, ["run_id", "span"], "left")
+    carried = carried.withColumnsRenamed({"run_id": "_run", "span": "_span"})
+    same = F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("span") == F.col("_span"))
+    first = rows.filter(F.col("before_us").isNull()).join(carried, same, "left").drop("_run", "_span")
     first = first.withColumns({"before_us": F.col("_c.us"), "before_step": F.col("_c.step")})
     timed = inner.unionByName(first.drop("_c")).filter("yields")
     steps = F.col("step") - F.col("before_step")
