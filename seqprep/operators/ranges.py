@@ -7,16 +7,20 @@ A range is a set of key *values*, so a row's range never depends on how a task w
 recomputed. Work inside a range is an ordinary window; what crosses a border is carried over by at
 most one row per range.
 
-Order keys must be unique: without that a row has no defined position. Rows whose group is NULL are
-one group, however many ranges there are.
+Order keys should be unique: rows of one key have no order among themselves, though none of them is ever
+lost (``splits`` says how a bound inside them cuts). Rows whose group is NULL are one group, however
+many ranges there are.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -65,11 +69,41 @@ def _order_value(df: DataFrame, name: str) -> Column:
         return F.col(name).cast("bigint")
     if isinstance(kind, T.DateType):
         return F.unix_date(name).cast("bigint")
-    if isinstance(kind, (T.LongType, T.StringType, T.DoubleType)):
+    if isinstance(kind, T.TimestampNTZType):
+        # From its own fields: a cast to a timestamp would depend on the session's time zone.
+        seconds = F.hour(name) * 3_600 + F.minute(name) * 60
+        second = F.expr(f"extract(SECOND FROM {_quoted(name)})")
+        day = F.unix_date(F.col(name).cast("date")).cast("bigint")
+        return (day * 86_400 + seconds) * 1_000_000 + (second * 1_000_000).cast("bigint")
+    if isinstance(kind, T.FloatType):
+        return F.col(name).cast("double")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(name)
+    if isinstance(kind, (T.CharType, T.VarcharType)):
+        return F.col(name).cast("string")
+    if isinstance(kind, (T.LongType, T.StringType, T.DoubleType, T.DecimalType)):
         return F.col(name)
     raise TypeError(f"cannot order by column {name!r} of type {kind.simpleString()}")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _value(kind: T.DataType, value: object) -> Column:
+    """A key's order value, as a constant of the column's own type: a comparison reaches the scan."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(kind, T.TimestampNTZType):
+        at = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=value)
+        return F.lit(at.isoformat(sep=" ")).cast(kind)
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.lit(value).cast("int"))
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(F.lit(value))
+    return F.lit(value).cast("string" if isinstance(kind, (T.CharType, T.VarcharType)) else kind)
+
+
 def order_struct(df: DataFrame, keys: Sequence[str]) -> Column:
     """The whole order key as one comparable value."""
     return F.struct(*[_order_value(df, k).alias(f"k{i}") for i, k in enumerate(keys)])
@@ -77,7 +111,7 @@ def order_struct(df: DataFrame, keys: Sequence[str]) -> Column:
 
 def _key_array(rows: Sequence[Row], key_type: T.StructType) -> Column:
     """Borders as one constant array; Catalyst folds it into a literal."""
-    text = json.dumps([row.asDict() for row in rows], ensure_ascii=False)
+    text = json.dumps([row.asDict() for row in rows], ensure_ascii=False, default=str)
     return F.from_json(F.lit(text), T.ArrayType(key_type))
 
 
@@ -155,16 +189,29 @@ def with_position(df: DataFrame, ranges: KeyRanges, name: str = "pos") -> DataFr
     return ranged.withColumn(name, inside - 1 + before.cast("bigint")).drop("_range")
 
 
+@dataclass(frozen=True)
+class Border:
+    """A key, and how many rows of the same key lie before the position that was asked for."""
+
+    key: Row
+    skip: int
+
+
 def key_at(df: DataFrame, ranges: KeyRanges, positions: Sequence[int]) -> list[Row | None]:
-    """Exact order key at each 0-based position, without sorting the rows of the table.
+    """Exact order key at each 0-based position, without sorting the rows of the table."""
+    return [found and found.key for found in borders_at(df, ranges, positions)]
+
+
+def borders_at(df: DataFrame, ranges: KeyRanges, positions: Sequence[int]) -> list[Border | None]:
+    """Order key at each 0-based position, and the position's place among the rows of that key.
 
     Each round cuts the key range that holds a position into smaller ranges, by value, until what
-    is left is small enough to sort; the driver receives borders and the one key asked for.
+    is left is small enough to sort, or is one key; the driver receives borders and the one key.
     """
     return [_descend(df, ranges, position) for position in positions]
 
 
-def _descend(df: DataFrame, ranges: KeyRanges, position: int) -> Row | None:
+def _descend(df: DataFrame, ranges: KeyRanges, position: int) -> Border | None:
     if not 0 <= position < ranges.total:
         return None
     key = order_struct(df, ranges.keys)
@@ -173,35 +220,78 @@ def _descend(df: DataFrame, ranges: KeyRanges, position: int) -> Row | None:
         at = max(i for i, before in enumerate(ranges.offsets) if before <= position)
         position -= ranges.offsets[at]
         if ranges.first[at] == ranges.last[at]:
-            return ranges.first[at]
+            return Border(ranges.first[at], position)
         low = F.get(_key_array([ranges.first[at]], key_type), F.lit(0))
         high = F.get(_key_array([ranges.last[at]], key_type), F.lit(0))
         df = df.filter((key >= low) & (key <= high))
         if ranges.counts[at] <= LAST_STEP_ROWS:
             break
         ranges = key_ranges(df, ranges.keys, rows_per_range=LAST_STEP_ROWS // 2)
-    found = df.select(key.alias("key")).orderBy("key").offset(position).limit(1).collect()
-    return found[0]["key"] if found else None
+    counts = df.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
+    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("key")))
+    found = upto.filter(F.col("upto") > position).orderBy("key").limit(1).collect()
+    return Border(found[0]["key"], position - (found[0]["upto"] - found[0]["n"])) if found else None
+
+
+def _columns(df: DataFrame, keys: Sequence[str], border: Row) -> list[tuple[Column, Column | None]]:
+    """Each key column with its value in the border, NULL as None."""
+    kinds = [df.schema[k].dataType for k in keys]
+    return [
+        (F.col(_quoted(k)), None if v is None else _value(kind, v))
+        for k, kind, v in zip(keys, kinds, border, strict=True)
+    ]
 
 
 def before_key(df: DataFrame, keys: Sequence[str], border: Row | None) -> Column:
     """True for rows ordered before ``border``; a missing border lies after every row.
 
-    For one plain column the comparison is written on the column itself, so that it reaches the
-    scan as a pushed filter.
+    Written as plain comparisons of the columns, with the bound on the first column that they imply,
+    so that it reaches the scan. NULL is ordered first.
     """
     if border is None:
         return F.lit(True)
-    if len(keys) == 1:
-        if border[0] is None:
-            return F.lit(False)
-        column = F.col(keys[0])
-        if isinstance(df.schema[keys[0]].dataType, T.TimestampType):
-            return (column < F.timestamp_micros(F.lit(border[0]))) | column.isNull()
-        return (_order_value(df, keys[0]) < F.lit(border[0])) | column.isNull()
-    key = order_struct(df, keys)
-    key_type = df.select(key.alias("key")).schema["key"].dataType
-    return key < F.get(_key_array([border], key_type), F.lit(0))
+
+    def less(pairs: list) -> Column:
+        (column, value), *rest = pairs
+        if value is None:
+            return column.isNull() & less(rest) if rest else F.lit(False)
+        found = (column < value) | column.isNull()
+        return found | ((column == value) & less(rest)) if rest else found
+
+    pairs = _columns(df, keys, border)
+    column, value = pairs[0]
+    if len(pairs) == 1 or value is None:
+        return less(pairs)
+    return ((column <= value) | column.isNull()) & less(pairs)
+
+
+def from_key(df: DataFrame, keys: Sequence[str], border: Row | None) -> Column:
+    """True for the rows that :func:`before_key` is not true for, written in the same way."""
+    if border is None:
+        return F.lit(False)
+
+    def not_less(pairs: list) -> Column:
+        (column, value), *rest = pairs
+        if value is None:
+            return column.isNotNull() | not_less(rest) if rest else F.lit(True)
+        if not rest:
+            return column >= value
+        return (column > value) | ((column == value) & not_less(rest))
+
+    pairs = _columns(df, keys, border)
+    column, value = pairs[0]
+    if len(pairs) == 1 or value is None:
+        return not_less(pairs)
+    return (column >= value) & not_less(pairs)
+
+
+def at_key(df: DataFrame, keys: Sequence[str], border: Row) -> Column:
+    """True for the rows of exactly this key."""
+    same = [
+        column.isNull() if value is None else column.eqNullSafe(value)
+        for column, value in _columns(df, keys, border)
+    ]
+    return reduce(and_, same)
 
 
 def neighbour(

@@ -105,6 +105,61 @@ def pct_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.pct_slice(turns, ["conv_id", "turn"], 25, 75).select("conv_id", "turn", "text")
 
 
+@query
+def pct_slice_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by language, which few values share; the bounds fall among rows of one language."""
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return splits.pct_slice(docs, ["lang"], 5, 60, ["doc_id"])
+
+
+@query
+def pct_slice_ties_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by return flag with nothing to tell them apart: every slice has its exact size."""
+    rows = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
+    found = splits.split_by_rule(rows, splits.TAIL_DROPPED, ["l_returnflag"])
+    flags = [
+        part.groupBy("l_returnflag").agg(F.count("*").alias("rows")).withColumn("split", F.lit(name))
+        for name, part in found.items()
+    ]
+    return flags[0].unionByName(flags[1])
+
+
+@query
+def pct_slice_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by a time without a zone."""
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    return splits.pct_slice(events, ["ts"], 10, 25, ["event_id"]).select("event_id", "user_id")
+
+
+@query
+def pct_slice_by_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by a price in decimals, the largest first of equal ones last."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
+    rows = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", price)
+    found = splits.pct_slice(rows, ["price"], 40, 55, ["l_orderkey", "l_linenumber"])
+    return found.select("l_orderkey", "l_linenumber", F.col("price").cast("double").alias("price"))
+
+
+@query
+def read_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as CSV files without a key, split by where their lines stand."""
+    docs = inputs.table(spark, sf_dir, "documents")
+    text = F.translate("text", "\r\n", "  ").alias("text")
+    lines = docs.select("doc_id", "source", text).repartitionByRange(4, "doc_id")
+    path = storage.scratch_path(spark, "csv")
+    lines.sortWithinPartitions("doc_id").write.csv(path, header=True, escape='"')
+    spec = datasets.DatasetSpec(
+        "source",
+        "text",
+        rule=splits.TAIL_DROPPED,
+        format="csv",
+        schema="doc_id bigint, source string, text string",
+        options={"escape": '"'},
+    )
+    rows = datasets.read_dataset(spark, "csv", path, {"csv": spec})
+    return rows.select("doc_id", "split", "instruction", "response")
+
+
 @query
 def split_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents")

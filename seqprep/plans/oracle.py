@@ -54,6 +54,34 @@ ORACLE_SQL["pct_middle_split"] = f"""
 ORACLE_SQL["pct_slice"] = f"""
 WITH {_PLACED.format(key="conv_id, turn", table="conversations")}
 SELECT conv_id, turn, text FROM placed WHERE pos >= {_bound(25)} AND pos < {_bound(75)}"""
+
+
+def _sliced(columns: str, table: str, order: str, low: int, high: int) -> str:
+    return f"""
+WITH placed AS (
+  SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS pos, count(*) OVER () AS n FROM {table})
+SELECT {columns} FROM placed WHERE pos >= {_bound(low)} AND pos < {_bound(high)}"""
+
+
+ORACLE_SQL["pct_slice_ties"] = _sliced("doc_id, lang, source", "documents", "lang NULLS FIRST, doc_id", 5, 60)
+ORACLE_SQL["pct_slice_by_time"] = _sliced("event_id, user_id", "events", "ts NULLS FIRST, event_id", 10, 25)
+ORACLE_SQL["pct_slice_by_decimal"] = _sliced(
+    "l_orderkey, l_linenumber, price::DOUBLE AS price",
+    "(SELECT *, l_extendedprice::DECIMAL(18, 2) AS price FROM lineitem)",
+    "price, l_orderkey, l_linenumber",
+    40,
+    55,
+)
+ORACLE_SQL["pct_slice_ties_by_content"] = f"""
+WITH placed AS (
+  SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) - 1 AS pos, count(*) OVER () AS n
+  FROM lineitem)
+SELECT l_returnflag, {_MIDDLE} AS split, count(*) AS rows
+FROM placed WHERE pos < {_bound(95)} GROUP BY 1, 2"""
+ORACLE_SQL["read_csv_split"] = f"""
+{_DOCS} SELECT doc_id, {_MIDDLE} AS split, source AS instruction,
+  translate(text, chr(13) || chr(10), '  ') AS response
+FROM placed WHERE pos < {_bound(95)}"""
 ORACLE_SQL["split_dictionary"] = f"""
 SELECT split, count(*) AS rows, min(doc_id) AS first_id, max(doc_id) AS last_id
 FROM ({ORACLE_SQL["pct_middle_split"]}) GROUP BY split"""

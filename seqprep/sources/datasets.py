@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from seqprep.operators.shaping import map_roles
 from seqprep.operators.splits import FRONT_VALIDATION, TAIL_DROPPED, SplitRule, with_split
+from seqprep.plans.storage import written
 
-FILE, ROW = "source_file", "source_row"
+FILE, BLOCK, ROW = "source_file", "source_block", "source_row"
 # Published splits by file name, such as train-00000-of-00002.parquet.
 SPLIT_FILE = r"^(train|validation|valid|dev|test)(?:[-_.]|$)"
 
@@ -20,8 +21,8 @@ SPLIT_FILE = r"^(train|validation|valid|dev|test)(?:[-_.]|$)"
 class DatasetSpec:
     """How to read a dataset. Without a split rule it is used as published.
 
-    Without an order key rows are ordered as they lie in their (parquet) files. A ``schema`` saves
-    the pass over the data that finds out the types of JSON or CSV files.
+    Without an order key rows are ordered as they lie in their files; rows of one key, too. A
+    ``schema`` saves the pass over the data that finds out the types of JSON or CSV files.
     """
 
     instruction: str = "instruction"
@@ -32,6 +33,7 @@ class DatasetSpec:
     format: str = "parquet"
     order_by: Sequence[str] = ()
     schema: str | None = None
+    options: Mapping[str, str] | None = None
 
 
 # Dataset names with their columns and split rules; any other name uses the default.
@@ -54,12 +56,13 @@ def dataset_spec(name: str, registry: dict[str, DatasetSpec] | None = None) -> D
 
 
 def read_rows(spark: SparkSession, spec: DatasetSpec, path: str | Sequence[str]) -> DataFrame:
-    """The dataset's rows with their order key: its own, or file name and row number.
+    """The dataset's rows, with their address in the files where a split rule needs it.
 
     Rows without a ``split`` column or folder get the split that their file is named after, or train.
     """
     reader = spark.read.option("header", "true") if spec.format == "csv" else spark.read
     reader = reader.schema(spec.schema) if spec.schema else reader
+    reader = reader.options(**(spec.options or {}))
     paths = [path] if isinstance(path, str) else list(path)
     rows = reader.format(spec.format).load(paths)
     if "split" not in rows.columns:
@@ -68,13 +71,28 @@ def read_rows(spark: SparkSession, spec: DatasetSpec, path: str | Sequence[str])
         rows = rows.select("*", "_metadata", split.alias("split"))
     else:
         rows = rows.select("*", "_metadata")
-    if spec.order_by or spec.rule is None:
+    if spec.rule is None:
         return rows.drop("_metadata")
-    if spec.format != "parquet":
-        raise ValueError(f"a split of {spec.format} files needs an order key")
-    return rows.withColumns(
-        {FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")}
-    ).drop("_metadata")
+    if spec.format == "parquet":
+        return rows.withColumns(
+            {FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")}
+        ).drop("_metadata")
+    return rows.drop("_metadata") if spec.order_by else _addressed(rows)
+
+
+def _addressed(rows: DataFrame) -> DataFrame:
+    """Rows of text files with their address: file, start of the block, and number inside the block.
+
+    A block is read by one task, in the order of its lines. How files are cut into blocks may change
+    from one pass to the next, with the cores that happen to be there, so the rows are written down
+    with their addresses, which also parses the text once.
+    """
+    address = {
+        FILE: F.col("_metadata.file_path"),
+        BLOCK: F.col("_metadata.file_block_start"),
+        ROW: F.monotonically_increasing_id(),
+    }
+    return written(rows.withColumns(address).drop("_metadata"), "addressed")
 
 
 def read_dataset(
@@ -92,5 +110,8 @@ def read_dataset(
     rows = read_rows(spark, spec, path)
     if spec.rule is not None:
         rows = rows.filter("split = 'train'").drop("split")
-        rows = with_split(rows, spec.rule, tuple(spec.order_by) or (FILE, ROW)).drop(FILE, ROW)
+        address = [c for c in (FILE, BLOCK, ROW) if c in rows.columns]
+        order = list(spec.order_by) or address
+        ties = address if spec.order_by else []
+        rows = with_split(rows, spec.rule, order, ties).drop(FILE, BLOCK, ROW)
     return map_roles(rows, spec.instruction, spec.response)

@@ -99,7 +99,10 @@ def test_slices_are_disjoint_and_whole(spark):
     assert [part.count() for part in parts] == [50, 329 - 50, 997 - 329]
 
 
-@pytest.mark.parametrize("kind", ["string", "double", "date", "timestamp", "int"])
+@pytest.mark.parametrize(
+    "kind",
+    ["string", "double", "date", "timestamp", "int", "timestamp_ntz", "decimal", "wide decimal", "float", "binary", "null first"],
+)
 def test_slice_by_key_type(spark, kind):
     value = {
         "string": F.format_string("%05d", "id"),
@@ -107,6 +110,12 @@ def test_slice_by_key_type(spark, kind):
         "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")),
         "timestamp": F.timestamp_micros(F.col("id") * 1_000_001),
         "int": F.col("id").cast("int"),
+        "timestamp_ntz": (F.timestamp_micros((F.col("id") - 30) * 777_000_001)).cast("timestamp_ntz"),
+        "decimal": ((F.col("id") - 25) / 8).cast("decimal(10,3)"),
+        "wide decimal": (F.col("id").cast("decimal(38,0)") * F.lit("1" + "0" * 30).cast("decimal(31,0)")).cast("decimal(38,0)"),
+        "float": (F.col("id") / 4).cast("float"),
+        "binary": F.unhex(F.format_string("%06X", "id")),
+        "null first": F.when(F.col("id") > 0, F.col("id")),
     }[kind]
     table = spark.range(200).select("id", value.alias("k")).repartition(3)
     got = splits.pct_slice(table, ["k"], 10, 30)
@@ -224,3 +233,73 @@ def test_epochs_are_at_least_one_and_max_steps_lengthen(spark):
         batching.with_epochs(spark.range(3), 0)
     got = batching.assign_epoch_batches(spark.range(100), ["id"], 10, 2, 1, max_steps=25)
     assert got.agg(F.max("step")).first()[0] == 25 and got.count() == 250
+
+
+def places(df, *order):
+    """Row numbers by hand, NULL first."""
+    rows = df.collect()
+    key = lambda r: tuple((r[c] is not None, r[c] if r[c] is not None else 0) for c in order)
+    return [r["id"] for r in sorted(rows, key=key)]
+
+
+@pytest.mark.parametrize("per_range", [10_000, 30])
+@pytest.mark.parametrize("order", [["g"], ["g", "h"], ["n", "g"]])
+def test_slices_of_a_key_that_rows_share(spark, monkeypatch, order, per_range):
+    monkeypatch.setattr(splits, "key_ranges", lambda df, keys, n=per_range: ranges.key_ranges(df, keys, n))
+    table = spark.range(200).select(
+        "id",
+        (F.col("id") * 7 % 5).alias("g"),
+        (F.col("id") % 3).cast("string").alias("h"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("n"),
+    ).repartition(3)
+    want = places(table, *order, "id")
+    for low, high in [(None, 5), (5, 33), (33, 90), (90, None), (40, 40)]:
+        bounds = [0 if low is None else splits.slice_bound(low, 200), 200 if high is None else splits.slice_bound(high, 200)]
+        exact = splits.pct_slice(table, order, low, high, ["id"])
+        assert sorted(r["id"] for r in exact.collect()) == sorted(want[slice(*bounds)])
+    found = splits.split_by_rule(table, {"a": (None, 5), "b": (5, 6), "c": (6, 80), "d": (80, None)}, order)
+    ids = [r["id"] for part in found.values() for r in part.collect()]
+    assert sorted(ids) == list(range(200)) and [p.count() for p in found.values()] == [10, 2, 148, 40]
+    for part, span in zip(found.values(), [(0, 10), (10, 12), (12, 160), (160, 200)]):
+        keys = lambda rows: sorted(str([r[c] for c in order]) for r in rows)
+        by_id = {r["id"]: r for r in table.collect()}
+        assert keys(part.collect()) == keys([by_id[i] for i in want[slice(*span)]])
+
+
+def test_slices_of_equal_rows(spark):
+    table = spark.range(40).select((F.col("id") % 10).alias("k"), F.lit("x").alias("v"), F.lit(None).cast("string").alias("z"))
+    assert splits.pct_slice(table, ["k"], None, 5).count() == 2
+    got = splits.with_split(table, splits.TAIL_DROPPED, ["k"])
+    assert got.columns == ["k", "v", "z", "split"]
+    assert {r["split"]: r["count"] for r in got.groupBy("split").count().collect()} == {"train": 36, "validation": 2}
+    one = spark.range(30).select(F.lit(1).alias("k"))
+    assert [splits.pct_slice(one, ["k"], lo, hi).count() for lo, hi in [(None, 50), (50, None)]] == [15, 15]
+    assert splits.pct_slice(one.limit(0), ["k"], None, 50).count() == 0
+
+
+def pushed(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "PushedFilters" in line]
+
+
+def test_bounds_of_several_columns_reach_the_scan(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    for low, high, sign in [(25, None, "GreaterThanOrEqual(conv_id"), (None, 75, "LessThanOrEqual(conv_id")]:
+        assert any(sign in line for line in pushed(splits.pct_slice(turns, ["conv_id", "turn"], low, high)))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    sliced = splits.pct_slice(events, ["ts"], 10, 20, ["event_id"])
+    assert any("GreaterThanOrEqual(ts" in line for line in pushed(sliced))
+
+
+def test_times_without_a_zone_follow_no_zone(spark):
+    """A night in which clocks of the session's zone go back an hour."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        at = F.expr("timestamp_ntz'2024-10-27 00:30:00' + make_interval(0, 0, 0, 0, 0, 0, id * 60)")
+        table = spark.range(240).select("id", at.alias("k")).repartition(3)
+        got = splits.pct_slice(table, ["k"], 25, 75)
+        assert sorted(r["id"] for r in got.collect()) == list(range(60, 180))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
