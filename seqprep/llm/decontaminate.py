@@ -6,6 +6,10 @@ hashes of the six words on either side; a match of fingerprints is extended over
 13 words or more is a hit. An item of fewer than 13 words is one window; its own fingerprint is its
 whole sequence, looked up at every position of a document.
 
+Places of a document with the same fingerprint and sides are one, with a list of places, and so are items
+with the same; each pair of different sides is extended once, and its reach laid on all places. A text of one
+word repeated thus costs a few pairs, not the product of its places with an item's.
+
 Fingerprints of documents first pass a bit set of fixed size made from the benchmark's;
 what passes is joined with them. The bit set only saves shuffling: a benchmark of any size gives the
 same result.
@@ -36,7 +40,7 @@ SIDE = WINDOW - GRAM
 SHARE = 20
 _SHORT = np.uint64(0x5DEECE66D1234567)
 
-_HIT = "struct<key:bigint, at:int, side:binary>"
+_HIT = "struct<key:bigint, size:int, side:binary, places:array<int>>"
 _DOC = f"doc_id bigint, _text bigint, n_words bigint, hits array<{_HIT}>"
 _ITEM = f"item_id string, n_words bigint, hits array<{_HIT}>"
 
@@ -47,12 +51,28 @@ def _sides(words: np.ndarray, at: int, size: int) -> bytes:
     return bytes([len(left)]) + left.tobytes() + right.tobytes()
 
 
-def _struct(groups: list[list[tuple[int, int, bytes]]]) -> pa.Array:
-    kind = pa.struct([("key", pa.int64()), ("at", pa.int32()), ("side", pa.binary())])
-    rows = [[{"key": k, "at": a, "side": s} for k, a, s in group] for group in groups]
+Hits = dict[tuple[int, int, bytes], list[int]]
+
+
+def _struct(groups: list[Hits]) -> pa.Array:
+    """Per text its fingerprints: key, number of words (0 for a winnowed one), sides and places."""
+    kind = pa.struct(
+        [("key", pa.int64()), ("size", pa.int32()), ("side", pa.binary()), ("places", pa.list_(pa.int32()))]
+    )
+    rows = [
+        [{"key": k, "size": n, "side": s, "places": places} for (k, n, s), places in group.items()]
+        for group in groups
+    ]
     return pa.array(rows, pa.list_(kind))
 
 
+def _winnowed(words: np.ndarray, keys: np.ndarray, at: np.ndarray) -> Hits:
+    found: Hits = {}
+    for key, place in zip(signed(keys).tolist(), at.tolist()):
+        found.setdefault((key, 0, _sides(words, place, GRAM)), []).append(place)
+    return found
+
+
 def _fingerprints(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = grams(words, GRAM)
     at = minimisers(values, SPAN)
@@ -65,14 +85,12 @@ def _of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in word_lists(batch.column("_data").to_pylist(), PUNCTUATION):
             counts.append(len(words))
             if len(words) >= WINDOW:
-                keys, at = _fingerprints(words)
-                found = zip(signed(keys).tolist(), at.tolist())
-                hits.append([(k, a, _sides(words, a, GRAM)) for k, a in found])
+                hits.append(_winnowed(words, *_fingerprints(words)))
             elif len(words):
                 key = signed(grams(words, len(words)) ^ _SHORT)
-                hits.append([(int(key[0]), -len(words), b"")])
+                hits.append({(int(key[0]), len(words), b""): [0]})
             else:
-                hits.append([])
+                hits.append({})
         yield pa.RecordBatch.from_arrays(
             [batch.column("item_id"), pa.array(counts, pa.int64()), _struct(hits)],
             ["item_id", "n_words", "hits"],
@@ -91,12 +109,12 @@ def _of_documents(bits: bytes, lengths: list[int]):
                 counts.append(len(words))
                 keys, at = _fingerprints(words)
                 found = np.flatnonzero(passing(known, keys))
-                pairs = zip(signed(keys[found]).tolist(), at[found].tolist())
-                group = [(k, a, _sides(words, a, GRAM)) for k, a in pairs]
+                group = _winnowed(words, keys[found], at[found])
                 for n in lengths:
                     keys = grams(words, n) ^ _SHORT
                     found = np.flatnonzero(passing(known, keys))
-                    group += [(k, a, b"") for k, a in zip(signed(keys[found]).tolist(), found.tolist())]
+                    for key, place in zip(signed(keys[found]).tolist(), found.tolist()):
+                        group.setdefault((key, n, b""), []).append(place)
                 hits.append(group)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_text"), pa.array(counts, pa.int64()), _struct(hits)],
@@ -113,29 +131,33 @@ def _run(a: np.ndarray, b: np.ndarray) -> int:
     return int(other[0]) if len(other) else n
 
 
+_REACH = "_row bigint, _hit int, key bigint, size int, item_side binary, low int, high int"
+
+
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches of fingerprints to spans ``[low, high)`` of document words."""
+    """Pairs of sides to how far a match reaches from its place, ``[low, high)``; short ones go."""
 
     def split(side: bytes) -> tuple[np.ndarray, np.ndarray]:
         words = np.frombuffer(side, np.uint64, offset=1)
         return words[: side[0]][::-1], words[side[0] :]
 
     for batch in batches:
-        rows, items, lows, highs = [], [], [], []
-        cells = [batch.column(c).to_pylist() for c in ("_row", "at", "side", "item_id", "item_at", "item_side")]
-        for row, at, side, item, item_at, item_side in zip(*cells):
-            if item_at < 0:
-                low, high = at, at - item_at
-            else:
+        kept, lows, highs = [], [], []
+        cells = [batch.column(c).to_pylist() for c in ("size", "side", "item_side")]
+        for i, (size, side, item_side) in enumerate(zip(*cells)):
+            low, high = 0, size
+            if not size:
                 (left, right), (item_left, item_right) = split(side), split(item_side)
-                low, high = at - _run(left, item_left), at + GRAM + _run(right, item_right)
+                low, high = -_run(left, item_left), GRAM + _run(right, item_right)
                 if high - low < WINDOW:
                     continue
-            for to, x in zip((rows, items, lows, highs), (row, item, low, high)):
+            for to, x in zip((kept, lows, highs), (i, low, high)):
                 to.append(x)
+        some = batch.take(pa.array(kept, pa.int32()))
+        columns = [some.column(c) for c in ("_row", "_hit", "key", "size", "item_side")]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(items, pa.string()), pa.array(lows, pa.int32()), pa.array(highs, pa.int32())],
-            ["_row", "item_id", "low", "high"],
+            [*columns, pa.array(lows, pa.int32()), pa.array(highs, pa.int32())],
+            [part.split()[0] for part in _REACH.split(", ")],
         )
 
 
@@ -151,28 +173,34 @@ def _contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).mapInArrow(_of_items, _ITEM)
     items = items.select("item_id", F.explode("hits").alias("hit"))
     items = written(
-        items.select("item_id", "hit.key", F.col("hit.at").alias("item_at"), F.col("hit.side").alias("item_side")).distinct(),
-        "items",
+        items.select("item_id", "hit.key", "hit.size", F.col("hit.side").alias("item_side")).distinct(), "items"
     )
-    short = items.filter("item_at < 0").select(F.col("item_at")).distinct().collect()
-    lengths = sorted(-row["item_at"] for row in short)
+    sides = items.select("key", "size", "item_side").distinct()
+    short = items.filter("size > 0").select("size").distinct().collect()
+    lengths = sorted(row["size"] for row in short)
     run = _of_documents(bit_set(items, "key"), lengths)
     found = text_bytes(docs, F.xxhash64(F.col("text").cast("string")).alias("_text")).mapInArrow(run, _DOC).withColumn("_row", F.monotonically_increasing_id())
     found = written(found, "fingerprints")
-    hits = found.select("_row", F.explode("hits").alias("hit")).select("_row", "hit.*")
-    spans = written(
-        hits.join(items, "key")
-        .select("_row", "at", "side", "item_id", "item_at", "item_side")
-        .mapInArrow(_extend, "_row bigint, item_id string, low int, high int"),
-        "spans",
-    )
-    listed = spans.select("_row", "item_id").distinct().groupBy("_row").agg(
+    hits = found.select("_row", F.posexplode("hits").alias("_hit", "hit")).select("_row", "_hit", "hit.*")
+    pairs = hits.drop("places").join(sides, ["key", "size"])
+    reaches = written(pairs.mapInArrow(_extend, _REACH), "reaches")
+    same = [F.col("_item." + c).eqNullSafe(F.col("_reach." + c)) for c in ("key", "size", "item_side")]
+    of_items = reaches.alias("_reach").join(items.alias("_item"), same[0] & same[1] & same[2])
+    listed = of_items.select("_row", "item_id").distinct().groupBy("_row").agg(
         F.count("item_id").alias("n_items"),
         F.concat_ws(",", F.sort_array(F.collect_list("item_id"))).alias("_items"),
     )
+    # All matches of a place hold its fingerprint, so their union is one span.
+    widest = reaches.groupBy("_row", "_hit").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    spans = widest.join(hits.select("_row", "_hit", "places"), ["_row", "_hit"]).select(
+        "_row",
+        F.transform(
+            "places", lambda at: F.struct((at + F.col("low")).alias("low"), (at + F.col("high")).alias("high"))
+        ).alias("spans"),
+    )
     covered = (
         spans.groupBy("_row")
-        .agg(F.sort_array(F.collect_set(F.struct("low", "high"))).alias("_spans"))
+        .agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
         .select("_row", _covered(F.col("_spans")).alias("n_hit"))
     )
     out = found.drop("hits").join(covered, "_row", "left").join(listed, "_row", "left")
