@@ -18,7 +18,7 @@ SPACE_SIGNS = " \t\n\x0b\x0c\r"
 #: Bits of a set of keys that is broadcast; its size does not depend on the data.
 BITS = 1 << 23
 
-__all__ = ["SPACE_SIGNS", "WORD", "bit_set", "id_remainder", "likely", "passing", "text_bytes", "without", "written"]
+__all__ = ["SPACE_SIGNS", "WORD", "bit_set", "free", "id_remainder", "likely", "passing", "text_bytes", "without", "written"]
 
 
 def text_bytes(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
@@ -35,11 +35,24 @@ def id_remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
     """Rows of ``docs`` whose key is not in ``keys`` (``doc_id``, ``_text``); columns as they were."""
-    named = keys.select(F.col("doc_id").alias("_gone_id"), F.col("_text").alias("_gone_text"))
+    gone_id, gone_text = free(docs, "_gone_id", "_gone_text")
+    named = keys.select(F.col("doc_id").alias(gone_id), F.col("_text").alias(gone_text))
     doc_id, text = docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"].cast("string"))
-    same = doc_id.eqNullSafe(F.col("_gone_id")) & text.eqNullSafe(F.col("_gone_text"))
+    same = doc_id.eqNullSafe(F.col(gone_id)) & text.eqNullSafe(F.col(gone_text))
     return docs.join(named, same, how)
 
 
