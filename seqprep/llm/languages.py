@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.llm.frames import id_remainder
+from seqprep.llm.frames import free, id_remainder
 from seqprep.llm.words import mix
 
 DIM = 1024
@@ -33,8 +33,10 @@ FOLDS = 4
 HELD_OUT = 2
 MAX_LANGUAGES = 4096
 UNKNOWN = "und"
-#: Rejected by the pipeline below this cosine; texts of a learned language lie far above.
+#: Rejected by the pipeline below this cosine, if there are letters enough for a text of a learned
+#: language to lie far above it.
 MIN_SCORE = 0.05
+MIN_LETTERS = 64
 #: Letters handled at once, texts of one matrix product, and trigram vectors kept by a task.
 CHUNK = 1 << 20
 TEXTS = 64
@@ -193,9 +195,9 @@ def predictor(prototypes: dict[str, np.ndarray]) -> Callable[[Sequence[bytes | N
     return predict
 
 
-def prediction(docs: DataFrame, text: Column | None = None) -> Column:
+def prediction(docs: DataFrame, text: Column | None = None, learned: dict[str, np.ndarray] | None = None) -> Column:
     """A struct of ``lang`` and ``score`` for a text column, learned from ``docs``."""
-    predict = predictor(learn(docs))
+    predict = predictor(learn(docs) if learned is None else learned)
 
     @F.pandas_udf("lang string, score double")
     def run(data: pd.Series) -> pd.DataFrame:
@@ -219,10 +221,17 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` whose language is known with ``min_score`` or more; columns as they were."""
-    name = "_found"
-    while name in docs.columns:
-        name += "_"
-    found = docs.withColumn(name, prediction(docs))
-    sure = (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= min_score)
+    """``docs`` whose language is known; columns as they were.
+
+    A text without a letter goes, and one of ``MIN_LETTERS`` or more whose score is below
+    ``min_score``; a shorter text says too little to be rejected. Where no row names a language there
+    is nothing to judge by, and all rows stay.
+    """
+    learned = learn(docs)
+    if not learned:
+        return docs
+    (name,) = free(docs, "_found")
+    found = docs.withColumn(name, prediction(docs, learned=learned))
+    short = F.regexp_count(F.col("text").cast("string"), F.lit(r"\p{L}")) < MIN_LETTERS
+    sure = (F.col(name)["lang"] != UNKNOWN) & ((F.col(name)["score"] >= min_score) | short)
     return found.filter(sure).select(*[docs[c] for c in docs.columns])

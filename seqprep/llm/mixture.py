@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from seqprep.llm.frames import WORD, written
+from seqprep.llm.frames import WORD, free, written
 from seqprep.operators.ranges import key_ranges, with_position
 
 WEIGHTS = (5, 2, 1)
@@ -174,17 +174,20 @@ def mixed(docs: DataFrame) -> DataFrame:
     such last rows per source are joined to the texts, which are not exchanged unless the sources
     outgrow a broadcast.
     """
+    own, of, once, twice, turn = free(docs, "_own", "_of", "_once", "_twice", "_turn")
     key = F.struct("draw", "doc_id", "size")
-    lasts = mix(docs).groupBy("source").agg(
-        F.max(F.when(F.col("copies") > 0, key)).alias("_once"),
-        F.max(F.when(F.col("copies") > 1, key)).alias("_twice"),
+    lasts = mix(docs).groupBy(F.col("source").alias(of)).agg(
+        F.max(F.when(F.col("copies") > 0, key)).alias(once),
+        F.max(F.when(F.col("copies") > 1, key)).alias(twice),
     )
-    lasts = written(lasts.withColumnRenamed("source", "_of"), "lasts")
+    lasts = written(lasts, "lasts")
     doc_id = docs["doc_id"].cast("bigint")
-    own = F.struct(_draw(docs["doc_id"], SEED).alias("draw"), doc_id.alias("doc_id"), _size(docs).alias("size"))
-    keyed = docs.select("*", own.alias("_own"))
-    joined = keyed.join(lasts, docs["source"].cast("string").eqNullSafe(lasts["_of"]))
-    times = [F.coalesce((F.col("_own") <= F.col(c)).cast("int"), F.lit(0)) for c in ("_once", "_twice")]
-    copies = F.when(F.col("_own")["size"] > 0, times[0] + times[1]).otherwise(0)
-    turns = F.explode(F.array_repeat(F.lit(1), copies)).alias("_turn")
-    return joined.select(*[docs[c] for c in docs.columns], turns).drop("_turn")
+    keyed = docs.select(
+        "*",
+        F.struct(_draw(docs["doc_id"], SEED).alias("draw"), doc_id.alias("doc_id"), _size(docs).alias("size")).alias(own),
+    )
+    joined = keyed.join(lasts, docs["source"].cast("string").eqNullSafe(F.col(of)))
+    times = [F.coalesce((F.col(own) <= F.col(c)).cast("int"), F.lit(0)) for c in (once, twice)]
+    copies = F.when(F.col(own)["size"] > 0, times[0] + times[1]).otherwise(0)
+    turns = F.explode(F.array_repeat(F.lit(1), copies)).alias(turn)
+    return joined.select(*[docs[c] for c in docs.columns], turns).drop(turn)

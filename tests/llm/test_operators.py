@@ -447,3 +447,65 @@ def test_host_rates_shrink_and_condemn(spark):
     assert not found[10]["base_failed"] and not found[10]["kept"]
     assert found[5001]["kept"] and found[1000]["kept"]
     assert found[5000]["host_rate"] < 1
+
+
+def test_a_text_of_one_word_repeated(spark):
+    """20,000 places against 2,000: a few pairs of sides."""
+    docs = spark.createDataFrame([(1, "x " * 20_000), (2, "x " * 5 + "y"), (3, "x " * 13 + "y x")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(i, "x " * 2_000) for i in range(3)] + [(9, "x x y"), (10, "x")], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (20_000, 20_000, 4), 2: (6, 6, 2), 3: (15, 15, 5)}
+
+
+def test_many_equal_rows_are_sharded(spark):
+    docs = spark.range(9000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("same").alias("text"))
+    more = spark.range(500).select("id", F.lit("b").alias("text"))
+    rows = shards.shards(docs.unionAll(more)).collect()
+    by_shard = defaultdict(list)
+    for row in rows:
+        by_shard[row["shard"]].append(row["slot"])
+    assert len(rows) == 9500 and all(sorted(slots) == list(range(len(slots))) for slots in by_shard.values())
+
+
+def test_plain_shuffle_of_a_bucket(spark):
+    """Fisher and Yates step by step, with Spark's hash for the draws."""
+    draws = spark.range(1, 40).select("id", F.pmod(F.xxhash64(F.lit(5 + 2) + F.lit(3), F.lit(1), F.lit(2), F.col("id").cast("int")), F.col("id") + 1).alias("j"))
+    order = [0]
+    for i, j in sorted(map(tuple, draws.collect())):
+        order.append(order[j] if j < i else i)
+        order[j] = i
+    got = spark.range(1).select(shards._shuffled(F.lit(40), F.lit(1), F.lit(2), 5, F.lit(3)).alias("o")).first()["o"]
+    assert got == order
+
+
+def test_columns_called_like_internal_ones(spark, sf_dir):
+    """Every name that an operator uses inside, as a column of the caller."""
+    names = (
+        "_own _of _once _twice _turn _gone_id _gone_text _found _to_shard _to_bucket _rank _tie _start _order _n "
+        "_row _hit _text _data size slot SHARD kept key root node _to_shard_"
+    ).split()
+    plain = table(spark, sf_dir, "documents").limit(60)
+    docs = plain.withColumns({n: F.lit(f"own {n}") for n in names})
+    items = table(spark, sf_dir, "benchmark")
+    stages = {
+        "language": languages.drop_unidentified(docs),
+        "near": near_dups.drop_near_duplicates(docs),
+        "decontaminated": decontaminate.decontaminate(docs, items),
+        "mixed": mixture.mixed(docs),
+    }
+    for name, rows in stages.items():
+        assert rows.columns == docs.columns, name
+        assert rows.count() > 0 and rows.filter(" or ".join(f"`{n}` <> 'own {n}'" for n in names)).count() == 0, name
+    sharded = shards.shards(docs, carry=True)
+    replaced = {"size", "slot", "SHARD"}
+    assert sharded.count() == 60
+    assert sharded.filter(" or ".join(f"`{n}` <> 'own {n}'" for n in names if n not in replaced)).count() == 0
+
+
+def test_documents_without_a_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    unnamed = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert languages.drop_unidentified(unnamed).count() == docs.count()
+    short = spark.createDataFrame([(10**9 + i, t, None, "s", 1) for i, t in enumerate(["A.", "Avec.", "123 ...", None])], docs.schema)
+    kept = languages.drop_unidentified(docs.unionByName(short)).filter(F.col("doc_id") >= 10**9)
+    assert sorted(r["text"] for r in kept.collect()) == ["A.", "Avec."]
