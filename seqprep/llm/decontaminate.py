@@ -131,7 +131,7 @@ def _run(a: np.ndarray, b: np.ndarray) -> int:
     return int(other[0]) if len(other) else n
 
 
-_REACH = "_row bigint, _hit int, key bigint, size int, item_side binary, low int, high int"
+_REACH = "_row bigint, _hit int, key bigint, size int, places array<int>, item_side binary, low int, high int"
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for to, x in zip((kept, lows, highs), (i, low, high)):
                 to.append(x)
         some = batch.take(pa.array(kept, pa.int32()))
-        columns = [some.column(c) for c in ("_row", "_hit", "key", "size", "item_side")]
+        columns = [some.column(c) for c in ("_row", "_hit", "key", "size", "places", "item_side")]
         yield pa.RecordBatch.from_arrays(
             [*columns, pa.array(lows, pa.int32()), pa.array(highs, pa.int32())],
             [part.split()[0] for part in _REACH.split(", ")],
@@ -182,17 +182,19 @@ def _contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = text_bytes(docs, F.xxhash64(F.col("text").cast("string")).alias("_text")).mapInArrow(run, _DOC).withColumn("_row", F.monotonically_increasing_id())
     found = written(found, "fingerprints")
     hits = found.select("_row", F.posexplode("hits").alias("_hit", "hit")).select("_row", "_hit", "hit.*")
-    pairs = hits.drop("places").join(sides, ["key", "size"])
+    pairs = hits.join(sides, ["key", "size"])
     reaches = written(pairs.mapInArrow(_extend, _REACH), "reaches")
     same = [F.col("_item." + c).eqNullSafe(F.col("_reach." + c)) for c in ("key", "size", "item_side")]
-    of_items = reaches.alias("_reach").join(items.alias("_item"), same[0] & same[1] & same[2])
+    of_items = reaches.drop("places", "low", "high").alias("_reach").join(items.alias("_item"), same[0] & same[1] & same[2])
     listed = of_items.select("_row", "item_id").distinct().groupBy("_row").agg(
         F.count("item_id").alias("n_items"),
         F.concat_ws(",", F.sort_array(F.collect_list("item_id"))).alias("_items"),
     )
     # All matches of a place hold its fingerprint, so their union is one span.
-    widest = reaches.groupBy("_row", "_hit").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    spans = widest.join(hits.select("_row", "_hit", "places"), ["_row", "_hit"]).select(
+    widest = reaches.groupBy("_row", "_hit").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.first("places").alias("places")
+    )
+    spans = widest.select(
         "_row",
         F.transform(
             "places", lambda at: F.struct((at + F.col("low")).alias("low"), (at + F.col("high")).alias("high"))
