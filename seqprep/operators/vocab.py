@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import json
+import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqprep.functions.sequences import truncate
 from seqprep.operators.ranges import NARROW_ROWS_PER_RANGE as RANK_ROWS
-from seqprep.operators.ranges import key_ranges, with_position
+from seqprep.operators.ranges import key_ranges, range_id, with_position
 from seqprep.plans.storage import written
 
 # Fixed value: a token is a run of ASCII letters and digits, or any other single non-space sign.
@@ -23,7 +24,16 @@ SPECIALS = (PAD, UNK, EOS)
 # A vocabulary up to the first size travels inside the plan, up to the second as a broadcast table.
 INLINE_ROWS = 32_768
 BROADCAST_ROWS = 1_000_000
-TOKEN_SALTS = 64
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Entries that are ordered in one task, from the first ones of every task.
+TOP_ROWS = 100_000
+
+# Candidates per entry that a sketch is asked for. Fixed values of the frequent-items sketch: the share of
+# its slots that it fills, and its error per slot as a multiple of the mean.
+CANDIDATES = 4
+SKETCH_LOAD = 0.75
+SKETCH_ERROR = 3.5
 
 # A word of more bytes is counted as its tokens.
 LONG_WORD_BYTES = 32
@@ -66,16 +76,31 @@ def build_vocab(
     size: int,
     specials: Sequence[str] = SPECIALS,
     marks: Sequence[str] = (),
+    tracked: int | None = None,
 ) -> DataFrame:
     """``(tok, id)``: the specials, then the ``size`` most frequent tokens, ties by token.
 
-    Counts are written down once and numbered over value ranges, so no task sees them all.
+    Up to ``TOP_ROWS`` entries each task keeps its own most frequent ones and only these are ordered
+    together. A larger vocabulary is written down as counts and numbered over value ranges; ranges
+    past the last entry are dropped first. With ``tracked`` the candidates come from a sketch of so
+    many tokens (:func:`candidates`), and only they are counted; the result is the same.
     """
-    counted = count_tokens(df, text, marks)
+    counted = None
+    if tracked is not None:
+        counted = candidate_counts(df, text, size + len(specials), tracked, marks)
+    if counted is None:
+        counted = count_tokens(df, text, marks)
     if specials:
         counted = counted.filter(~F.col("tok").isin(*specials))
-    counted = written(counted.select((-F.col("n")).alias("_less"), "tok"), "token_counts")
-    placed = with_position(counted, key_ranges(counted, ["_less", "tok"], RANK_ROWS), "_rank")
+    counted = counted.select((-F.col("n")).alias("_less"), "tok")
+    if size <= TOP_ROWS:
+        top = counted.orderBy("_less", "tok").limit(size)
+        placed = top.withColumn("_rank", F.row_number().over(Window.orderBy("_less", "tok")) - 1)
+    else:
+        counted = written(counted, "token_counts")
+        ranges = key_ranges(counted, ["_less", "tok"], RANK_ROWS)
+        needed = sum(before < size for before in ranges.offsets)
+        placed = with_position(counted.filter(range_id(counted, ranges) < needed), ranges, "_rank")
     rank = F.col("_rank") + len(specials)
     ranked = placed.filter(F.col("_rank") < size).select("tok", rank.cast("bigint").alias("id"))
     if not specials:
@@ -86,6 +111,49 @@ def build_vocab(
     return fixed.unionByName(ranked)
 
 
+def candidates(
+    df: DataFrame, text: str, wanted: int, tracked: int, marks: Sequence[str] = ()
+) -> tuple[list[str], float]:
+    """Tokens that may be among the ``wanted`` most frequent, and a count that no other one exceeds.
+
+    Each task keeps a sketch of ``tracked`` tokens (Spark's frequent-items sketch, which merges like
+    Misra-Gries counters), and one sketch per task is exchanged however many distinct tokens there are.
+    """
+    tokens = df.select(F.explode(tokens_of(F.col(text), marks)).alias("tok"))
+    kept = min(tracked, CANDIDATES * wanted)
+    row = tokens.agg(
+        F.expr(f"approx_top_k(tok, {kept}, {tracked})").alias("top"), F.count("*").alias("n")
+    ).first()
+    found = [r["item"] for r in row["top"] or []]
+    # A token that is returned is estimated at its count or above. The sketch keeps back tokens whose
+    # lower bound is within its error, so one that is not returned may have twice the error.
+    slots = 1 << math.ceil(math.log2(max(tracked / SKETCH_LOAD, 8)))
+    missed = 2 * row["n"] * SKETCH_ERROR / slots
+    if len(found) == kept:
+        missed = max(missed, row["top"][-1]["count"])
+    return found, missed
+
+
+def candidate_counts(
+    df: DataFrame, text: str, wanted: int, tracked: int, marks: Sequence[str] = ()
+) -> DataFrame | None:
+    """Exact counts of the candidates; None if others might be among the ``wanted`` most frequent.
+
+    That is so where many tokens are about as frequent as the last one wanted; a larger sketch helps.
+    """
+    if not 0 < wanted <= tracked:
+        return None
+    found, missed = candidates(df, text, wanted, tracked, marks)
+    schema = "_tok string"
+    table = df.sparkSession.createDataFrame([(tok,) for tok in found], schema)
+    tokens = df.select(F.explode(tokens_of(F.col(text), marks)).alias("tok"))
+    same = F.col("tok") == F.col("_tok")
+    chosen = tokens.join(F.broadcast(table), same, "left_semi")
+    counts = written(chosen.groupBy("tok").agg(F.count("*").alias("n")), "candidate_counts")
+    last = counts.orderBy(F.desc("n")).limit(wanted).agg(F.min("n").alias("n"), F.count("*").alias("k")).first()
+    return counts if last["k"] == wanted and last["n"] > missed else None
+
+
 def encode(
     df: DataFrame,
     key: Sequence[str],
@@ -97,25 +165,30 @@ def encode(
     name: str = "ids",
     inline_rows: int = INLINE_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    head_rows: int | None = None,
 ) -> DataFrame:
     """Add the ids of the first ``max_len`` tokens of ``text``; unknown tokens get ``unk_id``.
 
     The size of the vocabulary is checked. Up to ``inline_rows`` it becomes a constant hash table
-    in the projection: no exchange at all (0 rules this way out without a look). A larger one is
-    joined token by token (see :func:`encode_by_join`); it is read more than once, so pass one that is
-    written down or checkpointed. Every form gives the same: a NULL text has NULL ids, an empty one
-    none, and neither NULL nor repeated values of ``key`` matter.
+    in the projection: no exchange at all (0 rules this way out without a look). Of a larger one the
+    ``head_rows`` lowest ids (as many as ``inline_rows`` if not given) are such a table, and the
+    tokens outside it are joined (see :func:`encode_by_join`); it is read more than once, so pass one
+    that is written down or checkpointed. Every form gives the same: a NULL text has NULL ids, an empty
+    one none, and neither NULL nor repeated values of ``key`` matter.
     """
     hashed = vocab.select("tok", "id", F.xxhash64("tok").alias("hash"))
     entries = hashed.limit(inline_rows + 1).collect() if inline_rows else None
     if entries is None or len(entries) > inline_rows:
-        return encode_by_join(df, key, text, vocab, max_len, unk_id, marks, name, broadcast_rows)
+        head = inline_rows if head_rows is None else head_rows
+        return encode_by_join(df, key, text, vocab, max_len, unk_id, marks, name, broadcast_rows, head)
     tokens = truncate(tokens_of(F.col(text), marks), max_len)
-    return df.withColumn(name, _look_up(tokens, entries, unk_id))
+    known = _look_up(entries)
+    unknown = F.lit(unk_id).cast("bigint")
+    return df.withColumn(name, F.transform(tokens, lambda tok: F.coalesce(known(tok), unknown)))
 
 
-def _look_up(tokens: Column, entries: list, unk_id: int) -> Column:
-    """Ids by a constant array of small maps, indexed by the token's hash."""
+def _look_up(entries: list) -> Callable[[Column], Column]:
+    """The id of a token, or NULL, by a constant array of small maps, indexed by the token's hash."""
     slots = 1 << max(0, len(entries) - 1).bit_length()
     table: list[dict[str, int]] = [{} for _ in range(slots)]
     for row in entries:
@@ -123,13 +196,12 @@ def _look_up(tokens: Column, entries: list, unk_id: int) -> Column:
     constant = F.from_json(
         F.lit(json.dumps(table, ensure_ascii=False)), "array<map<string,bigint>>"
     )
-    unknown = F.lit(unk_id).cast("bigint")
 
     def id_of(tok: Column) -> Column:
         slot = F.pmod(F.xxhash64(tok), F.lit(slots)).cast("int")
-        return F.coalesce(F.try_element_at(F.get(constant, slot), tok), unknown)
+        return F.try_element_at(F.get(constant, slot), tok)
 
-    return F.transform(tokens, id_of)
+    return id_of
 
 
 def encode_by_join(
@@ -142,28 +214,49 @@ def encode_by_join(
     marks: Sequence[str] = (),
     name: str = "ids",
     broadcast_rows: int = BROADCAST_ROWS,
+    head_rows: int = 0,
 ) -> DataFrame:
-    """:func:`encode` for a vocabulary too large to be a constant.
+    """:func:`encode` for a vocabulary too large to be a constant: heavy tokens by a table, light by join.
 
-    Tokens are taken and cut to ``max_len`` first and written down with a row id, so no exchange
-    carries the text and rows need no key of their own. Beyond ``broadcast_rows`` both sides are
-    exchanged by token, and each token is spread over ``TOKEN_SALTS`` places, since a few tokens make
-    up most of any text. At most ``max_len`` tokens of a row are regrouped.
+    The ``head_rows`` lowest ids, in a vocabulary by frequency most of any text, are looked up in the
+    projection. Only the other tokens leave their row, with a row id and their place. They are joined with the
+    rest of the vocabulary, broadcast up to ``broadcast_rows`` entries and ``BROADCAST_BYTES``, else
+    exchanged by token; without the heavy ones no key of that join is hot, and an unknown token that
+    is gets split by Spark. At most ``max_len`` tokens of a row are regrouped. Rows are written down with
+    their tokens, so that row ids hold; leave columns that are not needed out of ``df``.
     """
     tokens = truncate(tokens_of(F.col(text), marks), max_len)
+    table, item = vocab.select("tok", "id"), "array<struct<_i:int, id:bigint>>"
+    head = table.withColumn("hash", F.xxhash64("tok")).orderBy("id").limit(head_rows).collect() if head_rows else []
     rows = df.withColumns({"_tokens": tokens, "_row": F.monotonically_increasing_id()})
-    rows = written(rows, "tokens")
-    exploded = rows.select("_row", F.posexplode("_tokens").alias("_i", "tok"))
-    table = vocab.select("tok", "id")
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        found = exploded.join(F.broadcast(table), "tok", "left")
+    if head:
+        known = _look_up(head)
+        placed = F.transform("_tokens", lambda tok, i: F.struct(i.alias("_i"), known(tok).alias("id"), tok.alias("tok")))
+        rows = rows.withColumn("_placed", placed)
+        rows = rows.withColumns(
+            {
+                "_known": F.filter("_placed", lambda x: x["id"].isNotNull()),
+                "_rest": F.filter("_placed", lambda x: x["id"].isNull()),
+            }
+        ).drop("_placed", "_tokens")
+        rows = rows.withColumns(
+            {
+                "_known": F.transform("_known", lambda x: F.struct(x["_i"].alias("_i"), x["id"].alias("id"))),
+                "_rest": F.transform("_rest", lambda x: F.struct(x["_i"].alias("_i"), x["tok"].alias("tok"))),
+            }
+        )
+        table = table.filter(F.col("id") > max(row["id"] for row in head))
     else:
-        salts = F.sequence(F.lit(0), F.lit(TOKEN_SALTS - 1))
-        found = exploded.withColumn(
-            "_salt", F.pmod(F.xxhash64("_row", "_i"), F.lit(TOKEN_SALTS)).cast("int")
-        ).join(table.withColumn("_salt", F.explode(salts)), ["tok", "_salt"], "left")
-    item = F.struct("_i", F.coalesce("id", F.lit(unk_id).cast("bigint")).alias("id"))
-    grouped = found.groupBy("_row").agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    none = F.when(F.col("_tokens").isNotNull(), F.array().cast("array<bigint>"))
-    ids = F.coalesce(F.col("_items.id"), none)
-    return rows.join(grouped, "_row", "left").select(*[rows[c] for c in df.columns], ids.alias(name))
+        rest = F.transform("_tokens", lambda tok, i: F.struct(i.alias("_i"), tok.alias("tok")))
+        none = F.when(F.col("_tokens").isNotNull(), F.array().cast(item))
+        rows = rows.withColumns({"_known": none, "_rest": rest}).drop("_tokens")
+    rows = written(rows, "tokens")
+    exploded = rows.select("_row", F.inline("_rest"))
+    size = table.limit(broadcast_rows + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length("tok")).alias("bytes")).first()
+    small = size["n"] <= broadcast_rows and (size["bytes"] or 0) <= BROADCAST_BYTES
+    found = exploded.join(F.broadcast(table) if small else table, "tok", "left")
+    id_ = F.coalesce("id", F.lit(unk_id).cast("bigint")).alias("id")
+    grouped = found.groupBy("_row").agg(F.collect_list(F.struct("_i", id_)).alias("_found"))
+    every = F.sort_array(F.concat("_known", F.coalesce("_found", F.array().cast(item))))
+    joined = rows.join(grouped, "_row", "left")
+    return joined.select(*[rows[c] for c in df.columns], F.transform(every, lambda x: x["id"]).alias(name))

@@ -27,6 +27,9 @@ from seqprep.streaming import incremental, throughput
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCAB = 8_000
+HEAD_ROWS = 1_000
+SKETCH_VOCAB = 1_000
+TRACKED = 100_000
 BLOCK = 256
 LONG_LABEL_BLOCK = 64
 BATCH = 64
@@ -237,6 +240,8 @@ def route_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         texts.route(source, rules, "other").alias("label"),
         texts.route(architecture, texts.ARCHITECTURE_RULES, "auto").alias("architecture"),
+        texts.route(architecture, texts.ADAPTED_LAYER_RULES, texts.DEFAULT_ADAPTED_LAYERS).alias("adapted"),
+        texts.route(architecture, texts.CAST_RULES, "keep").alias("precision"),
         texts.route_exact(F.col("lang"), {"en": "English", "de": "German"}, None).alias("language"),
     )
 
@@ -287,6 +292,13 @@ def build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocab.build_vocab(inputs.documents(spark, sf_dir), "text", VOCAB)
 
 
+@query
+def build_vocab_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the candidates of a sketch, counted exactly."""
+    docs = inputs.documents(spark, sf_dir)
+    return vocab.build_vocab(docs, "text", SKETCH_VOCAB, tracked=TRACKED)
+
+
 @query
 def encode_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = sequences.pad(F.col("ids"), BLOCK, sequences.pad_id_or_eos(0, 2))
@@ -295,15 +307,15 @@ def encode_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def encode_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way of encoding that a vocabulary too large for the plan takes."""
-    ids = _encoded(spark, sf_dir, BLOCK, inline_rows=0)
+    """The way of encoding that a vocabulary too large for the plan takes: a head, and a joined rest."""
+    ids = _encoded(spark, sf_dir, BLOCK, inline_rows=0, head_rows=HEAD_ROWS)
     return ids.select("doc_id", flat("ids").alias("ids"))
 
 
 @query
 def encode_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way of encoding that a vocabulary too large to broadcast takes."""
-    ids = _encoded(spark, sf_dir, BLOCK, inline_rows=0, broadcast_rows=0)
+    ids = _encoded(spark, sf_dir, BLOCK, inline_rows=0, broadcast_rows=0, head_rows=HEAD_ROWS)
     return ids.select("doc_id", flat("ids").alias("ids"))
 
 
@@ -527,9 +539,8 @@ def run_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interval and summary rows written as run logs, then read back."""
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines of all runs: a line per interval, then the report."""
     events = _events(spark, sf_dir)
     intervals = telemetry.interval_throughput(
         events, TOKENS_BLOCK, F.col("train_batch"), LOG_STEPS
@@ -550,8 +561,36 @@ def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     after = (F.col("last_step") + 1 + F.col("pos")).alias("ord")
     report = report.select("run_id", "started", after, F.col("col").alias("line"))
+    return steps.select(*report.columns).unionByName(report)
+
+
+@query
+def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval and summary rows written as one table of run logs, then read back with all figures."""
+    path = storage.scratch_path(spark, "logs")
+    run_logs.write_packed_logs(_log_lines(spark, sf_dir), path)
+    read = run_logs.read_packed_logs(spark, path)
+    return read.select(
+        F.col("run").cast("bigint").alias("run_id"),
+        "log",
+        F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"),
+        "kind",
+        "step",
+        "tps",
+        "loss",
+        "learning_rate",
+        "seconds_per_step",
+        "label",
+        # The estimate is one of microseconds.
+        F.round("value", 6).alias("value"),
+    )
+
+
+@query
+def run_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a log folder per run."""
     path = storage.scratch_path(spark, "logs")
-    run_logs.write_run_logs(steps.select(*report.columns).unionByName(report), path)
+    run_logs.write_run_logs(_log_lines(spark, sf_dir), path)
     read = run_logs.read_run_logs(spark, path)
     return read.select(
         F.col("run").cast("bigint").alias("run_id"),

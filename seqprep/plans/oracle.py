@@ -13,6 +13,7 @@ from seqprep.plans.catalog import (
     RUN_STEPS,
     SEED,
     TOKENS_BLOCK,
+    SKETCH_VOCAB,
     VOCAB,
 )
 from seqprep.plans.inputs import STOP_TOKENS
@@ -122,7 +123,8 @@ SELECT doc_id,
   CASE WHEN source LIKE '%src10%' THEN 'ten'
        WHEN source LIKE '%src1%' AND source NOT LIKE '%src12%' THEN 'one'
        WHEN source LIKE '%src2%' THEN 'two' ELSE 'other' END AS label,
-  CASE WHEN lang = 'en' THEN 'auto' ELSE 'qwen' END AS architecture,
+  CASE WHEN lang = 'en' THEN 'auto' ELSE 'qwen' END AS architecture, 'c_proj' AS adapted,
+  CASE WHEN lang = 'en' THEN 'cast' ELSE 'keep' END AS precision,
   CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' END AS language
 FROM documents"""
 ORACLE_SQL["map_rows"] = """
@@ -180,6 +182,7 @@ _POSITIONS = _flat(f"range({BLOCK})")
 _FILLED = f"{_ENCODED}, filled AS (SELECT doc_id, list_resize(ids, {BLOCK}, 3) AS ids FROM encoded)"
 
 ORACLE_SQL["build_vocab"] = f"{_ENCODED} SELECT tok, id::BIGINT AS id FROM vocab"
+ORACLE_SQL["build_vocab_sketch"] = f"{ORACLE_SQL['build_vocab']} WHERE id < {SKETCH_VOCAB + 3}"
 ORACLE_SQL["encode_pad"] = f"""
 {_ENCODED} SELECT doc_id, {_flat(f"list_resize(ids, {BLOCK}, 0)")} AS input_ids FROM encoded"""
 ORACLE_SQL["encode_join"] = f"{_ENCODED} SELECT doc_id, {_flat('ids')} AS ids FROM encoded"
@@ -273,7 +276,7 @@ FROM shuffled WHERE pos // {EVAL_BATCH} < n // {EVAL_BATCH}"""
 
 # --- run reports ----------------------------------------------------------------------------
 
-_PRESETS = ", ".join(f"({i}, {row[1]})" for i, row in enumerate(RUN_PARAMETERS))
+_PRESETS = ", ".join(f"({i}, {row[1]}, {row[5]!r}::DOUBLE)" for i, row in enumerate(RUN_PARAMETERS))
 _RUNS = f"""
 ordered AS (
   SELECT user_id AS run_id, event_id AS seq, epoch_us(ts) AS us, ts, event_type, value,
@@ -285,9 +288,9 @@ kinds AS (
     WHEN rn = n - 1 THEN 'epoch_end' WHEN event_type = 'signup' THEN 'eval_log'
     ELSE 'step' END AS kind FROM ordered),
 runs AS (
-  SELECT run_id, seq, us, ts, kind, CASE WHEN kind = 'step' THEN value END AS loss, train_batch,
+  SELECT run_id, seq, us, ts, kind, CASE WHEN kind = 'step' THEN value END AS loss, train_batch, lr,
     (sum((kind = 'step')::INT) OVER (PARTITION BY run_id ORDER BY us, seq))::BIGINT AS step
-  FROM kinds JOIN (VALUES {_PRESETS}) AS p(preset, train_batch)
+  FROM kinds JOIN (VALUES {_PRESETS}) AS p(preset, train_batch, lr)
     ON run_id % {len(RUN_PARAMETERS)} = preset)"""
 
 
@@ -300,7 +303,7 @@ clock AS (
      OR kind = 'step' AND (step % {logging_steps} = 0 OR step = 1)
   WINDOW w AS (PARTITION BY run_id ORDER BY us, seq)),
 intervals AS (
-  SELECT run_id, seq, step, loss, step - before_step AS steps, us - before_us AS span,
+  SELECT run_id, seq, step, loss, lr, step - before_step AS steps, us - before_us AS span,
     (us - before_us) / 1e6 AS seconds,
     ({TOKENS_BLOCK}::DOUBLE * {batch} * (step - before_step)) / nullif((us - before_us) / 1e6, 0)
       AS tps,
@@ -368,7 +371,7 @@ estimated AS (
     + {EPOCHS} * eval_seconds AS s FROM measured)
 SELECT run_id, s AS estimated_seconds, floor(s / 86400)::BIGINT AS estimated_days,
   s - floor(s / 86400) * 86400 AS estimated_rest_seconds FROM estimated"""
-ORACLE_SQL["run_log_roundtrip"] = f"""
+ORACLE_SQL["run_log_files"] = f"""
 WITH {_RUNS}, {_timed(LOG_STEPS, "train_batch")},
 started AS (SELECT run_id, ts FROM runs WHERE kind = 'begin'),
 lines AS (
@@ -380,6 +383,46 @@ lines AS (
 SELECT run_id, strftime(ts, '%y%m%d_%H%M%S') AS log,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS started, kind, step, loss, label
 FROM lines JOIN started USING (run_id)"""
+
+
+def _written(value: str, digits: int) -> str:
+    """A number as the log lines round it: its shortest decimal form, halves away from zero."""
+    return f"round(({value})::VARCHAR::DECIMAL(38, 18), {digits})::DOUBLE"
+
+
+_FIGURES = ", ".join(
+    f"{_written(value, digits)} AS {name}"
+    for name, value, digits in (
+        ("tps", "tps", 2),
+        ("loss", "loss", 6),
+        ("learning_rate", "coalesce(lr, 0)", 8),
+        ("seconds_per_step", "seconds_per_step", 2),
+    )
+)
+ORACLE_SQL["run_log_roundtrip"] = f"""
+{_measured(LOG_STEPS, "train_batch")},
+started AS (SELECT run_id, ts FROM runs WHERE kind = 'begin'),
+report AS (
+  SELECT *, train_seconds + warm_up_seconds + eval_seconds AS total_seconds,
+    warm_up_seconds + avg_step_seconds * ({RUN_STEPS} - 1) + warm_up_seconds + {EPOCHS} * eval_seconds AS estimated
+  FROM measured),
+labels AS (
+  SELECT run_id, unnest(['Total Duration', 'Model Loading Duration', 'Train Duration', 'Evaluation Duration', 'Avg TPS'])
+      AS label,
+    unnest([total_seconds, warm_up_seconds, train_seconds, eval_seconds, avg_tps]) AS value
+  FROM report),
+lines AS (
+  SELECT run_id, 'step' AS kind, step, {_FIGURES}, NULL AS label, NULL::DOUBLE AS value FROM intervals
+  UNION ALL
+  SELECT run_id, 'summary', NULL, NULL, NULL, NULL, NULL, label, {_written("value", 2)} FROM labels
+  UNION ALL
+  SELECT run_id, 'summary', NULL, NULL, NULL, NULL, NULL, 'Total Estimated Duration',
+    round(floor(estimated / 86400) * 86400
+      + round((estimated - floor(estimated / 86400) * 86400) * 1000000) / 1000000, 6)
+  FROM report)
+SELECT run_id, strftime(ts, '%y%m%d_%H%M%S') AS log, strftime(ts, '%Y-%m-%d %H:%M:%S') AS started,
+  kind, step, tps, loss, learning_rate, seconds_per_step, label, value
+FROM lines JOIN started USING (run_id)"""
 ORACLE_SQL["stream_throughput"] = _intervals(str(BATCH))
 ORACLE_SQL["stream_throughput_by_record"] = ORACLE_SQL["stream_throughput"]
 ORACLE_SQL["stream_late_records"] = ORACLE_SQL["stream_throughput"]

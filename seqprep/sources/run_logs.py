@@ -95,52 +95,97 @@ def write_run_logs(lines: DataFrame, path: str, lines_per_file: int = LINES_PER_
     ordered.write.mode("overwrite").partitionBy("log").text(path)
 
 
-def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Typed records of all log lines under ``path``; lines of no known form are left out.
+def write_packed_logs(lines: DataFrame, path: str) -> None:
+    """Write ``(run_id, started, ord, line)`` as one table of all logs, in the order of log and line.
+
+    Its files follow the size of the lines, not the number of runs, and a log is found by the bounds of
+    its name in them; a very long log is spread over as many files as it fills.
+    """
+    name = log_file_name(F.col("run_id").cast("string"), F.col("started"))
+    named = lines.select(name.alias("log"), F.col("ord").cast("bigint").alias("ord"), "line")
+    placed = named.repartitionByRange("log", "ord").sortWithinPartitions("log", "ord")
+    placed.write.mode("overwrite").parquet(path)
+
+
+def read_packed_logs(spark: SparkSession, path: str, keep_unknown: bool = False) -> DataFrame:
+    """The typed records of a table of :func:`write_packed_logs`, as :func:`read_run_logs` has them."""
+    rows = spark.read.schema("log string, ord bigint, line string").parquet(path)
+    return _typed(
+        rows.select("line", F.col("log").alias("_file"), F.lit(0).cast("bigint").alias("block"), F.col("ord").alias("place")),
+        keep_unknown,
+    )
+
+
+def read_run_logs(spark: SparkSession, path: str, keep_unknown: bool = False) -> DataFrame:
+    """Typed records of all log lines under ``path``.
 
     A step may stand behind a progress bar on its line.
 
     ``run`` and ``started`` come from the log's name, ``<run>_<time>.log`` or ``<time>.log``.
-    ``kind`` is step, summary or mark; an estimate is returned in seconds.
+    ``kind`` is step, summary or mark; an estimate is returned in seconds. Lines of no known form are
+    left out, or with ``keep_unknown`` returned as ``line`` with the kind unknown, so that they can be
+    counted. ``block`` and ``place`` order the lines of a log.
     """
     raw = spark.read.text(path)
-    line = F.col("line")
-    time = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 2)
-    run = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 1)
-    lines = raw.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"))
+    return _typed(
+        raw.select(
+            F.col("value").alias("line"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        ),
+        keep_unknown,
+    )
 
-    def part(pattern: str, group: int) -> Column:
-        return F.nullif(F.regexp_extract(line, pattern, group), F.lit(""))
 
-    def number(text: Column) -> Column:
-        return text.try_cast("double")
+def _fields(text: Column, gate: str, pattern: str, groups: int) -> Column:
+    """The groups of a pattern over the whole text by one pass, or NULL; looked for behind a plain ``gate``."""
+    marked = F.regexp_replace(text, f"(?s)^{pattern}$", _CUT.join(f"${i + 1}" for i in range(groups)))
+    parts = F.when(text.contains(gate), F.split(marked, _CUT))
+    return F.when(F.size(parts) == groups, F.transform(parts, lambda x: F.nullif(x, F.lit(""))))
 
-    days = F.coalesce(part(ELAPSED_PATTERN, 1).try_cast("double"), F.lit(0.0))
-    elapsed = (
-        days * 86_400
-        + part(ELAPSED_PATTERN, 2).try_cast("double") * 3_600
-        + part(ELAPSED_PATTERN, 3).try_cast("double") * 60
-        + part(ELAPSED_PATTERN, 4).try_cast("double")
-    )
-    label = part(SUMMARY_PATTERN, 1)
+
+_CUT = "\x01"
+
+
+def _typed(lines: DataFrame, keep_unknown: bool) -> DataFrame:
+    """``line, _file, block, place`` to typed records: each line is matched once, by the pattern of its kind."""
+    line = F.translate("line", _CUT, " ")
+    step = _fields(line, "[Step ", f".*?{STEP_PATTERN}.*", 5)
+    other = _fields(line, ":", f"(?:{SUMMARY_PATTERN[1:-1]}|{MARK_PATTERN[1:-1]})", 4)
+    cut = lines.withColumn("_step", step).withColumn("_other", F.when(F.col("_step").isNull(), other))
     kind = (
-        F.when(line.rlike(STEP_PATTERN), "step")
-        .when(line.rlike(SUMMARY_PATTERN), "summary")
-        .when(line.rlike(MARK_PATTERN), "mark")
+        F.when(F.col("_step").isNotNull(), "step")
+        .when(F.get("_other", 0).isNotNull(), "summary")
+        .when(F.col("_other").isNotNull(), "mark")
+        .otherwise("unknown")
     )
-    plain_value = number(F.substring_index(part(SUMMARY_PATTERN, 2), " ", 1))
-    typed = lines.withColumn("kind", kind).filter(F.col("kind").isNotNull())
-    return typed.select(
+    cut = cut.withColumn("kind", kind)
+    cut = cut if keep_unknown else cut.filter("kind <> 'unknown'")
+    label, value = F.get("_other", 0), F.get("_other", 1)
+    estimate = label == ESTIMATED.rstrip(":")
+    clock = F.when(estimate, _fields(value, ":", f"{ELAPSED_PATTERN}.*", 4))
+    cut = cut.withColumn("_clock", clock)
+    part = lambda i: F.get("_clock", i).try_cast("double")
+    elapsed = F.coalesce(part(0), F.lit(0.0)) * 86_400 + part(1) * 3_600 + part(2) * 60 + part(3)
+    plain = F.substring_index(value, " ", 1).try_cast("double")
+    time = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 2)
+    run = F.regexp_extract(F.col("_file"), LOG_NAME_PATTERN, 1)
+    figure = lambda i: F.get("_step", i).try_cast("double")
+    return cut.select(
         F.nullif(run, F.lit("")).alias("run"),
         time.alias("log"),
         log_name_time(time).alias("started"),
         "kind",
-        part(STEP_PATTERN, 1).try_cast("bigint").alias("step"),
-        number(part(STEP_PATTERN, 2)).alias("tps"),
-        number(part(STEP_PATTERN, 3)).alias("loss"),
-        number(part(STEP_PATTERN, 4)).alias("learning_rate"),
-        number(part(STEP_PATTERN, 5)).alias("seconds_per_step"),
-        F.coalesce(label, part(MARK_PATTERN, 1)).alias("label"),
-        F.when(label == "Total Estimated Duration", elapsed).otherwise(plain_value).alias("value"),
-        part(MARK_PATTERN, 2).alias("mark"),
+        F.get("_step", 0).try_cast("bigint").alias("step"),
+        figure(1).alias("tps"),
+        figure(2).alias("loss"),
+        figure(3).alias("learning_rate"),
+        figure(4).alias("seconds_per_step"),
+        F.coalesce(label, F.get("_other", 2)).alias("label"),
+        F.when(estimate, elapsed).otherwise(plain).alias("value"),
+        F.get("_other", 3).alias("mark"),
+        F.when(F.col("kind") == "unknown", F.col("line")).alias("line"),
+        "block",
+        "place",
     )

@@ -167,6 +167,25 @@ def test_run_log_lines(spark, tmp_path):
     assert [r["mark"] for r in found if r["kind"] == "mark"] == ["Mon Jan  1 09:00:00 KST 2024"]
 
 
+def test_unknown_lines_are_counted_and_lines_keep_their_order(spark, tmp_path):
+    odd = "loading shards\n[Step x] | TPS: 1\n  5%|#| 1/2 [00:01] [Step 7] | TPS: 1.00 tokens/sec | Loss: 2.0 | LR : 0.1 | Duration for 1 Step: 3 sec it/s\n"
+    (tmp_path / "a_240101_090000.log").write_text(odd + LOG + "\x01\x01\x01\nStarted: no\n")
+    rows = run_logs.read_run_logs(spark, str(tmp_path), keep_unknown=True).orderBy("block", "place").collect()
+    assert len(rows) == len((odd + LOG).splitlines()) + 2
+    known = [r for r in rows if r["kind"] != "unknown"]
+    assert [(r["step"], r["tps"]) for r in known if r["kind"] == "step"][0] == (7, 1.0)
+    assert {r["line"] for r in rows if r["kind"] == "unknown"} >= {"loading shards", "[Step x] | TPS: 1", "\x01\x01\x01", "Started: no"}
+    assert len(run_logs.read_run_logs(spark, str(tmp_path)).collect()) == len(known)
+    table = spark.createDataFrame(
+        [(1, i, line) for i, line in enumerate((odd + LOG).splitlines())], "run_id int, ord int, line string"
+    ).withColumn("started", F.lit("2024-01-01 09:00:00").cast("timestamp"))
+    run_logs.write_packed_logs(table, f"{tmp_path}/packed")
+    packed = run_logs.read_packed_logs(spark, f"{tmp_path}/packed").orderBy("place").collect()
+    drop = ("run", "block", "place")
+    plain = lambda found: [str({k: v for k, v in r.asDict().items() if k not in drop}) for r in found]
+    assert plain(packed) == plain(known) and {r["run"] for r in packed} == {"1"}
+
+
 def test_rendered_lines_have_the_documented_form(spark):
     row = spark.range(1).select(
         F.lit(20).cast("bigint").alias("step"), F.lit(131072.0).alias("tps"), F.lit(float("nan")).alias("loss"),
@@ -260,8 +279,8 @@ def test_prompt_dataset_from_json(spark, tmp_path):
     rows = spark.range(20).select(F.concat(F.lit("p"), "id").alias("prompt"), F.lit("r").alias("response"), "id")
     rows.write.json(str(path))
     spec = datasets.DatasetSpec("prompt", "response", rule=datasets.TAIL_DROPPED, format="json")
-    with pytest.raises(ValueError, match="order key"):
-        datasets.read_dataset(spark, "j", str(path), {"j": spec})
+    placed = datasets.read_dataset(spark, "j", str(path), {"j": spec})
+    assert [placed.filter(F.col("split") == n).count() for n in ("train", "validation")] == [18, 1]
     keyed = datasets.DatasetSpec(
         "prompt", "response", rule=datasets.TAIL_DROPPED, format="json", order_by=("id",)
     )

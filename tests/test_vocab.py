@@ -69,7 +69,11 @@ def test_a_mark_with_a_space_is_refused(spark, docs):
 WAYS = {
     "inline": {},
     "broadcast": {"inline_rows": 0},
-    "salted": {"inline_rows": 0, "broadcast_rows": 0},
+    "exchanged": {"inline_rows": 0, "broadcast_rows": 0},
+    "head and broadcast": {"inline_rows": 0, "head_rows": 2},
+    "head and exchanged": {"inline_rows": 0, "head_rows": 5, "broadcast_rows": 0},
+    "head is all": {"inline_rows": 0, "head_rows": 1000},
+    "too large to be inline": {"inline_rows": 2},
 }
 
 
@@ -100,6 +104,42 @@ def test_broadcast_encoding_regroups_without_a_second_exchange(spark, sf_dir):
     assert "Exchange hashpartitioning(tok" not in plan
 
 
+def test_heavy_tokens_stay_in_their_row(spark):
+    """The plan explodes what the head leaves, and copies no vocabulary."""
+    docs = spark.createDataFrame([(i, "a b c d " * 5) for i in range(20)], "k bigint, text string")
+    words = vocab.build_vocab(docs, "text", 10)
+    got = vocab.encode_by_join(docs, ["k"], "text", words, 16, broadcast_rows=0, head_rows=6)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan and plan.count("Generate inline") == 1
+    assert all(len(r["ids"]) == 16 for r in got.collect())
+
+
+@pytest.mark.parametrize("top_rows", [100_000, 3])
+def test_vocab_is_the_same_by_ranges(spark, sf_dir, monkeypatch, top_rows):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = {r["tok"]: r["id"] for r in vocab.build_vocab(docs, "text", 200).collect()}
+    monkeypatch.setattr(vocab, "TOP_ROWS", top_rows)
+    monkeypatch.setattr(vocab, "RANK_ROWS", 500)
+    assert {r["tok"]: r["id"] for r in vocab.build_vocab(docs, "text", 200).collect()} == want
+
+
+def test_sketched_vocab_is_exact_or_not_used(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for size, tracked, used in [(50, 50_000, True), (200, 100, False), (20_000, 30_000, False)]:
+        want = vocab.build_vocab(docs, "text", size).collect()
+        found = vocab.candidate_counts(docs, "text", size + 3, tracked)
+        assert (found is not None) == used, (size, tracked)
+        got = vocab.build_vocab(docs, "text", size, tracked=tracked).collect()
+        assert {r["tok"]: r["id"] for r in got} == {r["tok"]: r["id"] for r in want}
+
+
+def test_a_sketch_of_distinct_tokens_gives_way(spark):
+    docs = spark.range(500).select(F.concat_ws(" ", F.lit("x"), *[F.concat(F.lit(f"w{j}z"), "id") for j in range(20)]).alias("t"))
+    assert vocab.candidate_counts(docs, "t", 3, 100) is None
+    assert [r["tok"] for r in vocab.build_vocab(docs, "t", 1, specials=(), tracked=2_000).collect()] == ["x"]
+    assert vocab.build_vocab(docs.limit(0), "t", 5, tracked=50).count() == 3
+
+
 def test_sequences_have_one_length(spark, docs):
     rows = docs.na.fill({"text": ""})
     words = vocab.build_vocab(rows, "text", 50)
@@ -125,7 +165,7 @@ def test_counting_combines_before_the_exchange(spark, docs):
     assert docs.select(F.size(vocab.tokens_of(F.col("text")))).count() == len(TEXTS)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"inline_rows": 0}, {"inline_rows": 0, "broadcast_rows": 0}])
+@pytest.mark.parametrize("sizes", WAYS.values())
 def test_null_text_and_repeated_keys_encode_alike(spark, sizes):
     rows = [(None, "a b"), (1, "a"), (1, None), (2, ""), (1, "b")]
     table = spark.createDataFrame(rows, "k bigint, t string").repartition(2)
