@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqprep.operators.ranges import ROWS_PER_RANGE, key_ranges, with_position
+from seqprep.plans.storage import written
 
 # Leading hex digits of the shuffle hash that name a bucket: 16**4 = 65,536 per epoch.
 BUCKET_DIGITS = 4
@@ -77,8 +78,9 @@ def epoch_order(
     """Add ``pos``, the 0-based place of a row in its epoch's seeded order, and ``epoch_rows``.
 
     The leading digits of the hash cut an epoch into equal buckets in order; a row's place is the
-    size of the buckets before its own plus its rank inside. The bucket sizes are counted before
-    the exchange and broadcast: there are at most ``16**bucket_digits`` (65,536) of them per epoch.
+    size of the buckets before its own plus its rank inside. The bucket sizes, at most
+    ``16**bucket_digits`` (65,536) per epoch, are counted before the exchange and joined where the
+    ranks are made. All columns of ``df`` are exchanged: give keys only, and see :func:`stored_batches`.
     """
     key = list(key)
     hashed = df.withColumn("_hash", shuffle_hash(key, seed)).withColumn(
@@ -99,7 +101,7 @@ def epoch_order(
     rank = F.row_number().over(Window.partitionBy("epoch", "_bucket").orderBy("_hash", *key))
     return (
         hashed.withColumn("_rank", rank - 1)
-        .join(F.broadcast(sizes), ["epoch", "_bucket"])
+        .join(sizes.hint("shuffle_hash"), ["epoch", "_bucket"])
         .withColumn("pos", F.col("_before") + F.col("_rank"))
         .drop("_hash", "_bucket", "_rank", "_before")
     )
@@ -133,3 +135,52 @@ def assign_epoch_batches(
     step = (F.col("epoch") * per_epoch + F.col("batch_id") + 1).cast("bigint")
     stepped = batched.withColumn("step", step).drop("_pos", "epoch_rows")
     return stepped.filter(F.col("step") <= max_steps) if max_steps > 0 else stepped
+
+
+ROW = "row_id"
+# Rows of a bucket of stored sequences.
+ROWS_PER_BUCKET = 200_000
+
+
+def store_sequences(df: DataFrame, table: str, path: str, rows: int | None = None) -> None:
+    """Write rows once as ``table`` under ``path``, each with a ``row_id``, in buckets by it.
+
+    Every epoch then needs keys only: the rows are read where they lie (see :func:`stored_batches`).
+    """
+    spark = df.sparkSession
+    # Ids are given once and written down, so that they hold for every later pass.
+    numbered = written(df.withColumn(ROW, F.monotonically_increasing_id()), "sequences")
+    count = numbered.count() if rows is None else rows
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, math.ceil(count / ROWS_PER_BUCKET))
+    (
+        numbered.repartition(buckets, ROW)
+        .write.mode("overwrite")
+        .bucketBy(buckets, ROW)
+        .sortBy(ROW)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def stored_batches(
+    spark: SparkSession,
+    table: str,
+    key: Sequence[str],
+    batch_size: int,
+    epochs: int,
+    seed: int,
+    drop_last: bool = True,
+    max_steps: int = -1,
+    bucket_digits: int = BUCKET_DIGITS,
+) -> DataFrame:
+    """:func:`assign_epoch_batches` of stored rows, where an epoch exchanges an index of keys only.
+
+    The index has a row per epoch and stored row: its id, and the batch, slot and step. It is exchanged
+    into the buckets of the table; the sequences themselves are never exchanged.
+    """
+    rows = spark.table(table)
+    keys = rows.select(ROW, *[k for k in key if k != ROW])
+    index = assign_epoch_batches(keys, key, batch_size, epochs, seed, drop_last, max_steps, bucket_digits)
+    index = index.select(ROW, "epoch", "batch_id", "slot", "step")
+    return rows.join(index.hint("merge"), ROW).drop(ROW)

@@ -186,6 +186,16 @@ def materialised_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.materialise(rows, f"{storage.shared_dir(spark)}/prepared", name)
 
 
+@query
+def materialised_split_reused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two writers: it reads what the first one wrote."""
+    docs = inputs.table(spark, sf_dir, "documents")
+    rows = splits.with_split(docs, splits.FRONT_VALIDATION, ["doc_id"]).select("doc_id", "split")
+    folder, name = storage.scratch_path(spark, "prepared"), storage.fingerprint(docs, rule="front")
+    storage.materialise(rows, folder, name)
+    return storage.materialise(rows.limit(0), folder, name)
+
+
 # --- row shaping ----------------------------------------------------------------------------
 
 
@@ -462,9 +472,12 @@ def eval_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def training_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared sequences of the train split, shuffled into full batches per epoch."""
+    """Prepared sequences of the train split, stored once, in shuffled full batches per epoch."""
     train = _prepared(spark, sf_dir).filter(F.col("split") == "train")
-    batched = batching.assign_epoch_batches(train, ["conv_id", "turn"], EVAL_BATCH, EPOCHS, SEED)
+    path = storage.scratch_path(spark, "bucketed")
+    table = path.rpartition("/")[2].replace("-", "_")
+    batching.store_sequences(train.select("conv_id", "turn", "input_ids"), table, path)
+    batched = batching.stored_batches(spark, table, ["conv_id", "turn"], EVAL_BATCH, EPOCHS, SEED)
     keys = batched.select("conv_id", "turn", "epoch", "batch_id", "slot", "step", "input_ids")
     return keys.withColumn("input_ids", flat("input_ids"))
 
@@ -744,6 +757,44 @@ def chat_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumn("tool_calls", F.size("tool_calls"))
 
 
+def _odd_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with a structured tool call and a field of no schema; every seventh is cut off."""
+    rows = inputs.response_records(spark, sf_dir)
+    call = F.format_string(
+        '"tool_calls":[{"id":"call-%d","type":"function","function":{"name":"look_up","arguments":"{}"}}]', "turn"
+    )
+    body = F.replace(F.col("body"), F.lit('"tool_calls":[]'), call)
+    seeded = F.concat(F.format_string('{"extra":{"seed":%d},', "conv_id"), F.substring(body, 2, 2**31 - 1))
+    cut = F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.substring(seeded, 1, 40)).otherwise(seeded)
+    return rows.withColumn("body", cut)
+
+
+@query
+def chat_responses_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed access to records of a shape that is not known beforehand."""
+    rows, _ = chat_records.read_any_responses(_odd_responses(spark, sf_dir), "body")
+    return rows.select(
+        "conv_id",
+        "turn",
+        "id",
+        "model",
+        "choice",
+        "content",
+        "finish_reason",
+        "total_tokens",
+        F.variant_get("tool_calls", "$[0].id", "string").alias("call_id"),
+        F.variant_get("tool_calls", "$[0].function.name", "string").alias("call_name"),
+        F.variant_get("record", "$.extra.seed", "bigint").alias("seed"),
+    )
+
+
+@query
+def chat_responses_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that are not JSON, kept as they came."""
+    _, broken = chat_records.read_any_responses(_odd_responses(spark, sf_dir), "body")
+    return broken.select("conv_id", "turn", "body")
+
+
 @query
 def usage_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = chat_records.read_chat_responses(inputs.response_records(spark, sf_dir), "body")

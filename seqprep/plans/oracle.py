@@ -50,6 +50,7 @@ SELECT event_id, g, row_number() OVER (PARTITION BY g ORDER BY event_id) AS plac
   count(*) OVER (PARTITION BY g) AS places FROM e"""
 ORACLE_SQL["pct_front_split"] = f"{_DOCS} SELECT doc_id, {_FRONT} AS split FROM placed"
 ORACLE_SQL["materialised_split"] = ORACLE_SQL["pct_front_split"]
+ORACLE_SQL["materialised_split_reused"] = ORACLE_SQL["pct_front_split"]
 ORACLE_SQL["pct_middle_split"] = f"""
 {_DOCS} SELECT doc_id, {_MIDDLE} AS split FROM placed WHERE pos < {_bound(95)}"""
 ORACLE_SQL["pct_slice"] = f"""
@@ -469,6 +470,16 @@ SELECT conv_id, turn, 'chatcmpl-' || conv_id || '-' || turn AS id,
   c AS completion_tokens, p + c AS total_tokens, NULL::VARCHAR AS prompt_tokens_details,
   NULL::VARCHAR AS prompt_logprobs
 FROM responses"""
+ORACLE_SQL["chat_responses_any"] = f"""
+WITH {_RESPONSES}
+SELECT conv_id, turn, 'chatcmpl-' || conv_id || '-' || turn AS id, model, 0 AS choice, response AS content,
+  finish_reason, p + c AS total_tokens, 'call-' || turn AS call_id, 'look_up' AS call_name, conv_id AS seed
+FROM responses WHERE (conv_id + turn) % 7 <> 0"""
+ORACLE_SQL["chat_responses_broken"] = f"""
+WITH {_RESPONSES}
+SELECT conv_id, turn, substr('{{"extra":{{"seed":' || conv_id || '}},"id":"chatcmpl-' || conv_id || '-' || turn
+  || '","object":"chat.completion"', 1, 40) AS body
+FROM responses WHERE (conv_id + turn) % 7 = 0"""
 ORACLE_SQL["usage_rollup"] = f"""
 WITH {_RESPONSES}
 SELECT model, finish_reason, count(*) AS responses, sum(p)::BIGINT AS prompt_tokens,

@@ -6,7 +6,9 @@ import hashlib
 import json
 import tempfile
 import uuid
+from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,14 +64,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def fingerprint(source: DataFrame, **parameters: object) -> str:
     """Name of a materialised table: its source files and the parameters that shaped it.
 
-    ``source`` is a table read from files. Names, sizes and times of its files are combined by
-    Spark into one number, in any order.
+    ``source`` is a table read from files. Their names, sizes and times come from the file system, listed
+    by Spark without a look into them, and are combined into one number, in any order.
     """
-    file = F.xxhash64(
-        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
-    )
-    files = source.select(file.alias("file")).distinct()
-    digest = files.agg(F.count("*"), F.sum(F.col("file").cast("decimal(38,0)"))).first()
+    paths = source.inputFiles()
+    digest: list = [0, None]
+    if paths:
+        listed = source.sparkSession.read.format("binaryFile").load(paths)
+        file = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        digest = list(listed.agg(F.count("*"), F.sum(file)).first())
     content = json.dumps([[str(part) for part in digest], sorted(parameters.items())], default=str)
     return hashlib.sha256(content.encode()).hexdigest()[:32]
 
@@ -112,16 +115,83 @@ def read_spread(spark: SparkSession, path: str, *key: str) -> DataFrame:
     return rows.repartition(cores, *key)
 
 
+MANIFEST = "_manifest.json"
+
+
 def materialise(
-    df: DataFrame, path: str, name: str, partition_by: tuple[str, ...] = ("split",)
+    df: DataFrame,
+    path: str,
+    name: str,
+    partition_by: tuple[str, ...] = ("split",),
+    parameters: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Write ``df`` once under ``path/name`` and read it from there from then on.
 
-    ``name`` is normally a :func:`fingerprint`. A write that did not finish has no success marker
-    and is replaced. No shuffle is added: each task writes its own rows of each split.
+    ``name`` is normally a :func:`fingerprint`. The table is written aside, with a manifest of its schema
+    and ``parameters``, and takes its name by one rename: of two writers one wins, and both read its
+    table. What an interrupted writer left, without its success marker or manifest, is replaced. A table of that name
+    with another schema or other parameters is refused. No shuffle is added: each task writes its own
+    rows of each split.
     """
     spark = df.sparkSession
     target = f"{path.rstrip('/')}/{name}"
-    if not is_complete(spark, target):
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    if not _is_finished(spark, target):
+        aside = f"{path.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(aside)
+        _write_text(spark, f"{aside}/{MANIFEST}", json.dumps(_manifest(df, parameters)))
+        _commit(spark, aside, target)
+    _check_manifest(spark, target, _manifest(df, parameters))
     return spark.read.schema(df.schema).parquet(target)
+
+
+def _is_finished(spark: SparkSession, path: str) -> bool:
+    manifest, storage = _hadoop_path(spark, f"{path}/{MANIFEST}")
+    return is_complete(spark, path) and storage.exists(manifest)
+
+
+def _manifest(df: DataFrame, parameters: Mapping[str, object] | None) -> dict:
+    columns = {f.name: f.dataType.simpleString() for f in df.schema}
+    return {"columns": columns, "parameters": json.loads(json.dumps(dict(parameters or {}), default=str))}
+
+
+def _check_manifest(spark: SparkSession, path: str, wanted: dict) -> None:
+    found = json.loads(_read_text(spark, f"{path}/{MANIFEST}"))
+    for part in wanted:
+        if found[part] != wanted[part]:
+            names = {**found[part], **wanted[part]}
+            other = sorted(n for n in names if found[part].get(n) != wanted[part].get(n))
+            raise ValueError(f"{path} was written with other {part}: {', '.join(other)}")
+
+
+def _commit(spark: SparkSession, aside: str, target: str) -> None:
+    """Give a finished table its name, unless another writer was first."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, _ = _hadoop_path(spark, aside)
+    goal, storage = _hadoop_path(spark, target)
+    if storage.exists(goal) and not _is_finished(spark, target):
+        storage.delete(goal, True)
+    context = hadoop.FileContext.getFileContext(storage.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    # Without the option to overwrite, the rename fails where the name is taken.
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        context.rename(source, goal, options)
+    except Py4JJavaError:
+        if not _is_finished(spark, target):
+            raise
+        storage.delete(source, True)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    found, storage = _hadoop_path(spark, path)
+    stream = storage.create(found, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    found, storage = _hadoop_path(spark, path)
+    stream = storage.open(found)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions.text import message
@@ -77,3 +77,44 @@ def read_chat_responses(df: DataFrame, json_col: str) -> DataFrame:
         "_r.usage.prompt_tokens", "_r.usage.completion_tokens", "_r.usage.total_tokens",
         "_r.usage.prompt_tokens_details", "_r.prompt_logprobs",
     )
+
+
+def read_any_responses(df: DataFrame, json_col: str) -> tuple[DataFrame, DataFrame]:
+    """Response records of any shape as rows per choice, and the rows whose text is not JSON.
+
+    The columns are those of :func:`read_chat_responses`, but ``tool_calls``, ``logprobs``,
+    ``usage`` and the whole ``record`` are VARIANT values, so that structured calls and fields that no
+    schema names are kept; a field of another type than its column is NULL there and still in the record.
+    A record without a list of choices keeps one row, NULL text is a row without a record.
+    """
+    other = [c for c in df.columns if c != json_col]
+    text = F.col(json_col)
+    parsed = df.withColumn("record", F.try_parse_json(text))
+    broken = parsed.filter(text.isNotNull() & F.col("record").isNull()).select(*df.columns)
+    kept = parsed.filter(text.isNull() | F.col("record").isNotNull())
+    choices = F.try_variant_get("record", "$.choices", "array<variant>")
+    rows = kept.select(*other, "record", F.explode_outer(choices).alias("_c"))
+
+    def of(part: str, path: str, kind: str, name: str | None = None) -> Column:
+        return F.try_variant_get(part, f"$.{path}", kind).alias(name or path.rpartition(".")[2])
+
+    return rows.select(
+        *other,
+        of("record", "id", "string"),
+        of("record", "object", "string"),
+        of("record", "created", "bigint"),
+        of("record", "model", "string"),
+        of("_c", "index", "int", "choice"),
+        of("_c", "message.role", "string"),
+        of("_c", "message.reasoning_content", "string"),
+        of("_c", "message.content", "string"),
+        of("_c", "message.tool_calls", "variant"),
+        of("_c", "logprobs", "variant"),
+        of("_c", "finish_reason", "string"),
+        of("_c", "stop_reason", "string"),
+        of("record", "usage.prompt_tokens", "bigint"),
+        of("record", "usage.completion_tokens", "bigint"),
+        of("record", "usage.total_tokens", "bigint"),
+        of("record", "usage", "variant"),
+        "record",
+    ), broken

@@ -303,3 +303,19 @@ def test_times_without_a_zone_follow_no_zone(spark):
         assert sorted(r["id"] for r in got.collect()) == list(range(60, 180))
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_stored_batches_equal_batches_and_exchange_keys_only(spark, tmp_path):
+    table = spark.range(157).select("id", F.array(F.col("id"), F.lit(1).cast("bigint")).alias("ids")).repartition(3)
+    want = batching.assign_epoch_batches(table, ["id"], 10, 3, 7)
+    batching.store_sequences(table, "stored_for_test", str(tmp_path / "stored"))
+    got = batching.stored_batches(spark, "stored_for_test", ["id"], 10, 3, 7)
+    columns = ("id", "ids", "epoch", "batch_id", "slot", "step")
+    assert ordered(got, *columns) == ordered(want, *columns) and got.count() == 3 * 150
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "ids#" in line)
+    join = max(i for i, line in enumerate(lines[:scan]) if "SortMergeJoin" in line)
+    assert "Bucketed: true" in lines[scan]
+    assert not any("Exchange" in line for line in lines[join:scan])
+    short = batching.stored_batches(spark, "stored_for_test", ["id"], 10, 1, 7, max_steps=20)
+    assert short.agg(F.max("step")).first()[0] == 20

@@ -210,6 +210,31 @@ def test_materialised_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
+def test_a_table_of_another_schema_is_refused(spark, tmp_path):
+    df = spark.range(5).withColumn("split", F.lit("train"))
+    storage.materialise(df, str(tmp_path), "f", parameters={"block": 8})
+    for other, given, said in (
+        (df.withColumn("more", F.lit(1)), {"block": 8}, "columns: more"),
+        (df.withColumn("id", F.col("id").cast("string")), {"block": 8}, "columns: id"),
+        (df, {"block": 9}, "parameters: block"),
+    ):
+        with pytest.raises(ValueError, match=said):
+            storage.materialise(other, str(tmp_path), "f", parameters=given)
+    assert storage.materialise(df, str(tmp_path), "f", parameters={"block": 8}).count() == 5
+
+
+def test_two_writers_give_one_table(spark, tmp_path):
+    """Both find nothing and write; the later rename finds the name taken."""
+    rows = [spark.range(n).withColumn("split", F.lit("train")) for n in (5, 9)]
+    for i, df in enumerate(rows):
+        df.write.partitionBy("split").parquet(f"{tmp_path}/_aside{i}")
+        storage._write_text(spark, f"{tmp_path}/_aside{i}/{storage.MANIFEST}", "{}")
+    for i in (0, 1):
+        storage._commit(spark, f"{tmp_path}/_aside{i}", f"{tmp_path}/f")
+    assert spark.read.parquet(f"{tmp_path}/f").count() == 5
+    assert storage.list_names(spark, str(tmp_path)) == ["f"]
+
+
 def test_an_unfinished_write_is_replaced(spark, tmp_path):
     df = spark.range(20).withColumn("split", F.lit("train"))
     storage.materialise(df, str(tmp_path), "f")
@@ -297,3 +322,18 @@ def test_map_rows(spark):
 def test_wrong_input_is_refused_before_it_runs(spark):
     with pytest.raises(TypeError, match="missing"):
         shaping.require_columns(spark.range(1), {"id": "bigint", "x": "string"})
+
+
+def test_responses_of_any_shape(spark):
+    bodies = [
+        (1, '{"id":"a","created":"soon","choices":[{"index":0,"message":{"content":"x","tool_calls":[{"id":"c","n":[1,2]}]}},{"index":1}],"new":{"k":[true]}}'),
+        (2, '{"choices":{"index":0}}'), (3, "{broken"), (4, None), (5, "[]"), (6, '{"usage":{"total_tokens":7}}'), (7, ""),
+    ]
+    rows, broken = chat_records.read_any_responses(spark.createDataFrame(bodies, "k int, body string"), "body")
+    got = rows.withColumns({c: F.to_json(c) for c in ("tool_calls", "record")}).collect()
+    first = [r for r in got if r["k"] == 1]
+    assert [(r["choice"], r["content"], r["tool_calls"]) for r in first] == [(0, "x", '[{"id":"c","n":[1,2]}]'), (1, None, None)]
+    assert all(r["created"] is None and '"new":{"k":[true]}' in r["record"] and '"created":"soon"' in r["record"] for r in first)
+    assert sorted(r["k"] for r in got if r["k"] > 1) == [2, 4, 5, 6]
+    assert {r["k"]: r["total_tokens"] for r in got if r["k"] in (4, 6)} == {4: None, 6: 7}
+    assert sorted(map(tuple, broken.collect())) == [(3, "{broken"), (7, "")]
