@@ -509,3 +509,46 @@ def test_documents_without_a_language(spark, sf_dir):
     short = spark.createDataFrame([(10**9 + i, t, None, "s", 1) for i, t in enumerate(["A.", "Avec.", "123 ...", None])], docs.schema)
     kept = languages.drop_unidentified(docs.unionByName(short)).filter(F.col("doc_id") >= 10**9)
     assert sorted(r["text"] for r in kept.collect()) == ["A.", "Avec."]
+
+
+def plain_notices(text):
+    """Every template laid on every word of the whole text; the best fits that do not overlap."""
+    words = licenses.wording(text)
+    found = set()
+    for name, template in ((n, licenses.wording(t)) for n, t in licenses.TEMPLATES.items()):
+        slack, counts = int(licenses.DIFFER * len(template)), Counter(template)
+        for start in range(-slack, len(words)):
+            low = max(0, start)
+            block = words[low : max(0, start + len(template) + 2 * slack)]
+            if sum((Counter(block) & counts).values()) >= len(template) - slack:
+                differ, a, b = licenses.fitted(template, block)
+                if b > a and differ <= licenses.DIFFER * len(template):
+                    found.add(((len(template) + b - a - differ) // 2 - differ, low + a, low + b, name, differ))
+    taken, out = set(), []
+    for _, a, b, name, differ in sorted(found, key=lambda x: (-x[0], x[1], x[2], x[3])):
+        if taken.isdisjoint(range(a, b)):
+            taken.update(range(a, b))
+            out.append((a, name, differ))
+    return [(name, differ) for _, name, differ in sorted(out)]
+
+
+def test_notices_equal_all_templates_on_all_words(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    texts = [r["text"] for r in docs.filter(F.col("text").rlike(licenses.SIGNAL)).collect()]
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for text in texts:
+        assert [(x[0], x[4]) for x in scanner.scan(text)] == plain_notices(text)
+    assert len(texts) > 20
+
+
+def test_whole_public_notices(spark):
+    """Each template in prose, wrapped, alone and beside another one."""
+    names = sorted(licenses.TEMPLATES)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for i, name in enumerate(names):
+        other = names[(i + 7) % len(names)]
+        for width in (60, 76):
+            wrapped = ["# " + line for line in textwrap.wrap(licenses.TEMPLATES[name], width)]
+            more = ["// " + line for line in textwrap.wrap(licenses.TEMPLATES[other], width)]
+            text = "\n".join([prose(i, 60), *wrapped, "", prose(i + 1, 5), "", *more, prose(i + 2, 60)])
+            assert [(x[0], x[4]) for x in scanner.scan(text)] == [(name, 0), (other, 0)], (name, other)
