@@ -1,9 +1,10 @@
 """Log-bilinear language model by noise-contrastive estimation, and scores of all texts.
 
 The model predicts the vector of the next word from the vectors of the two words before it, each
-through its own matrix, and scores a word by its product with the prediction plus a bias. Its classes
-are the ``CLASSES - 1`` most frequent training tokens and one class of all other words, inside
-which a word has its smoothed unigram share; so a text's probability is normalised over all words.
+through its own matrix, and scores a word by its product with the prediction plus a bias. The model is
+factored by classes: a frequent training token is a class of its own, all other words, also those of no
+training text, are ``ENDINGS`` classes by their last two bytes, inside which a word has its smoothed unigram
+share; so a text's probability is normalised over all words, and a rare word tells and learns by its ending.
 Normalisers come from matrix products over batches of distinct contexts.
 
 Tokens are counted over the whole training corpus and joined with the texts' rare tokens; only the
@@ -31,7 +32,10 @@ from seqprep.llm.words import hashed, signed
 
 FOLDS = 5
 HELD_OUT = 1
-CLASSES = 512
+#: Classes of single tokens at most, the fewest training occurrences of one, and classes by ending.
+TOKENS = 512
+LEAST = 100
+ENDINGS = 512
 DIM = 16
 NOISE = 64
 BATCH = 4096
@@ -54,7 +58,8 @@ class Counts:
     classes: np.ndarray
     tokens: int
     types: int
-    shares: np.ndarray  # of the classes; class 0 holds all other words
+    shares: np.ndarray  # of the classes; the first ones are endings
+    inside: np.ndarray  # log10 of the smoothed occurrences of each ending
 
     def place(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key, or -1."""
@@ -63,10 +68,15 @@ class Counts:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
+    def classed(self, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Class of each key, placed at ``at``: its own, or that of its ending."""
+        endings = (keys % np.uint64(ENDINGS)).astype(np.int32)
+        return np.where(at >= 0, self.classes[np.maximum(at, 0)], endings) if len(self.keys) else endings
+
 
 def documents(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Groups of texts as token hashes, each text closed by its end, and the texts' borders."""
-    for _, words, borders in hashed(texts):
+    for _, words, borders in hashed(texts, endings=ENDINGS):
         yield np.insert(words, borders[1:], END), borders + np.arange(len(borders))
 
 
@@ -105,13 +115,20 @@ def frequent(counts: DataFrame) -> Counts:
     keys, n = rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     order = np.argsort(keys)
     keys, n = keys[order], n[order]
-    top = np.lexsort((keys, -n))[: CLASSES - 1]
-    classes = np.zeros(len(keys), np.int32)
-    classes[top] = np.arange(1, len(top) + 1)
-    own = n[top] + SMOOTH
-    rest = tokens - n[top].sum() + SMOOTH * (types - len(top) + 1)
-    masses = np.concatenate(([rest], own))
-    return Counts(keys, n, classes, tokens, types, masses / masses.sum())
+    top = np.lexsort((keys, -n))[:TOKENS]
+    top = top[n[top] >= LEAST]
+    classes = (keys % np.uint64(ENDINGS)).astype(np.int32)
+    ending = F.pmod("key", F.lit(ENDINGS)).cast("int")
+    own = counts.groupBy(ending.alias("ending")).agg(F.count("*").alias("types"), F.sum("n").alias("n"))
+    # A word of no training text has one share in its ending.
+    masses = np.full(ENDINGS, SMOOTH)
+    for row in own.collect():
+        masses[row["ending"]] += row["n"] + SMOOTH * row["types"]
+    np.subtract.at(masses, classes[top], n[top] + SMOOTH)
+    classes[top] = np.arange(ENDINGS, ENDINGS + len(top))
+    inside = np.log10(masses)
+    masses = np.concatenate((masses, n[top] + SMOOTH))
+    return Counts(keys, n, classes, tokens, types, masses / masses.sum(), inside)
 
 
 class LogBilinear:
@@ -209,7 +226,7 @@ def _fit(counts: Counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             for keys, borders in documents(batch.column("_data").to_pylist()):
                 at = counts.place(keys)
-                classes = np.where(at < 0, 0, counts.classes[np.maximum(at, 0)])
+                classes = counts.classed(keys, at)
                 far, near = contexts(classes, borders, model.k)
                 for i in range(0, len(classes), BATCH):
                     trainer.step(far[i : i + BATCH], near[i : i + BATCH], classes[i : i + BATCH])
@@ -240,7 +257,7 @@ def fit(docs: DataFrame, counts: Counts) -> LogBilinear:
 
 _SCORED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-    "n_rest bigint, rare array<struct<key:bigint, m:bigint>>"
+    "rare array<struct<key:bigint, m:bigint>>"
 )
 
 
@@ -250,14 +267,14 @@ def _score(counts: Counts, parameters: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LogBilinear(counts.shares).load(parameters)
         logs = np.log10(counts.n + SMOOTH)
-        classes_of, k = counts.classes, model.k
+        k = model.k
         known_z = np.full((k + 1) * (k + 1), np.nan)
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
+            columns: list[list] = [[] for _ in range(5)]
             for keys, borders in documents(batch.column("_data").to_pylist()):
                 at = counts.place(keys)
                 hit, safe = at >= 0, np.maximum(at, 0)
-                classes = np.where(hit, classes_of[safe], 0) if len(classes_of) else np.zeros(len(at), int)
+                classes = counts.classed(keys, at)
                 far, near = contexts(classes, borders, k)
                 context = far.astype(np.int64) * (k + 1) + near
                 new = np.unique(context)
@@ -267,24 +284,24 @@ def _score(counts: Counts, parameters: np.ndarray):
                     known_z[part] = model.normaliser(part // (k + 1), part % (k + 1))
                 score = (model.score(far, near, classes) - known_z[context]) / math.log(10)
                 base = np.where(hit, logs[safe], 0.0) if len(logs) else np.zeros(len(at))
-                rest = classes == 0
+                rest = classes < ENDINGS
+                inside = np.where(rest, base - counts.inside[np.minimum(classes, ENDINGS - 1)], 0.0)
                 firsts = borders[:-1]
                 columns[0] += np.diff(borders).tolist()
                 columns[1] += np.add.reduceat(hit.astype(np.int64), firsts).tolist()
                 columns[2] += np.add.reduceat(base, firsts).tolist()
-                columns[3] += np.add.reduceat(score + np.where(rest, base, 0.0), firsts).tolist()
-                columns[4] += np.add.reduceat(rest.astype(np.int64), firsts).tolist()
+                columns[3] += np.add.reduceat(score + inside, firsts).tolist()
                 places = np.flatnonzero(~hit)
                 cuts = np.searchsorted(places, borders)
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     own, m = np.unique(keys[places[a:b]], return_counts=True)
-                    columns[5].append([{"key": x, "m": y} for x, y in zip(signed(own).tolist(), m.tolist())])
+                    columns[4].append([{"key": x, "m": y} for x, y in zip(signed(own).tolist(), m.tolist())])
             kind = pa.list_(pa.struct([("key", pa.int64()), ("m", pa.int64())]))
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), kind]
+            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), kind]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out")]
                 + [pa.array(c, t) for c, t in zip(columns, types)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_rest", "rare"],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
             )
 
     return run
@@ -306,7 +323,6 @@ def score(docs: DataFrame) -> DataFrame:
     out = scored.drop("rare").join(joined, "_row", "left")
     more = F.coalesce("_more", F.lit(0.0))
     whole = math.log10(counts.tokens + SMOOTH * (counts.types + 1))
-    outside = math.log10(float(counts.shares[0])) + whole
     return out.select(
         "doc_id",
         "held_out",
@@ -314,5 +330,5 @@ def score(docs: DataFrame) -> DataFrame:
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(counts.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + more - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
-        (F.col("score") + more - F.col("n_rest") * F.lit(outside)).alias("score"),
+        (F.col("score") + more).alias("score"),
     )

@@ -45,8 +45,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash(buffer: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of each word of a buffer."""
+def _hash(buffer: np.ndarray, gaps: np.ndarray, endings: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of each word of a buffer; with ``endings`` its last bits name the word's ending."""
     n = len(buffer)
     inside = np.zeros(n + 2, np.int8)
     inside[1:-1] = ~gaps[buffer]
@@ -55,10 +55,16 @@ def _hash(buffer: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     power, inverse = _powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts]), starts
+    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+    if endings:
+        last = buffer[ends - 1].astype(np.uint64)
+        before = np.where(ends - starts > 1, buffer[np.maximum(ends - 2, 0)], 0).astype(np.uint64)
+        code = mix((last << np.uint64(8)) | before) % np.uint64(endings)
+        hashes = (hashes & ~np.uint64(endings - 1)) | code
+    return hashes, starts
 
 
-def _long(data: bytes, gaps: np.ndarray) -> np.ndarray:
+def _long(data: bytes, gaps: np.ndarray, endings: int = 0) -> np.ndarray:
     """Word hashes of one long text, in pieces that end at gaps."""
     buffer, out, at = np.frombuffer(data, np.uint8), [], 0
     while at < len(buffer):
@@ -66,15 +72,18 @@ def _long(data: bytes, gaps: np.ndarray) -> np.ndarray:
         while end < len(buffer) and not gaps[buffer[end]]:
             found = np.flatnonzero(gaps[buffer[end : end + CHUNK]])
             end = end + int(found[0]) if len(found) else min(end + CHUNK, len(buffer))
-        out.append(_hash(buffer[at:end], gaps)[0])
+        out.append(_hash(buffer[at:end], gaps, endings)[0])
         at = end
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def hashed(
-    texts: Sequence[bytes | None], gaps: np.ndarray = SPACES, lower: bool = True
+    texts: Sequence[bytes | None], gaps: np.ndarray = SPACES, lower: bool = True, endings: int = 0
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Groups of texts: index of the first, all word hashes, and each text's borders in them."""
+    """Groups of texts: index of the first, all word hashes, and each text's borders in them.
+
+    With ``endings``, a power of two, a hash's value modulo it is the bucket of the word's last two bytes.
+    """
     at = 0
     while at < len(texts):
         first, size, group = at, 0, []
@@ -85,10 +94,10 @@ def hashed(
         data = b"\n".join(group)
         data = data.translate(LOWER) if lower else data
         if len(group) == 1:
-            words = _long(data, gaps)
+            words = _long(data, gaps, endings)
             yield first, words, np.array([0, len(words)])
             continue
-        words, starts = _hash(np.frombuffer(data, np.uint8), gaps)
+        words, starts = _hash(np.frombuffer(data, np.uint8), gaps, endings)
         offsets = np.cumsum([0] + [len(x) + 1 for x in group])
         yield first, words, np.searchsorted(starts, offsets)
 

@@ -552,3 +552,40 @@ def test_whole_public_notices(spark):
             more = ["// " + line for line in textwrap.wrap(licenses.TEMPLATES[other], width)]
             text = "\n".join([prose(i, 60), *wrapped, "", prose(i + 1, 5), "", *more, prose(i + 2, 60)])
             assert [(x[0], x[4]) for x in scanner.scan(text)] == [(name, 0), (other, 0)], (name, other)
+
+
+def test_scores_equal_a_plain_softmax(spark, sf_dir):
+    """Each token by its context, one after the other, and its share among the words of its ending."""
+    docs = table(spark, sf_dir, "documents")
+    counts = neural_lm.frequent(neural_lm.count_tokens(docs))
+    model = neural_lm.fit(docs, counts)
+    words_in, _, first, second, bias = model.parts
+    outs = model.parts[1]
+    own = {int(k): int(c) for k, c in zip(counts.keys, counts.classes)}
+    n = {int(k): int(c) for k, c in zip(counts.keys, counts.n)}
+    mass = defaultdict(lambda: 0.5)
+    for key, cls in own.items():
+        if cls < neural_lm.ENDINGS:
+            assert cls == key % neural_lm.ENDINGS
+            mass[cls] += n[key] + 0.5
+    got = {r["doc_id"]: r["score"] for r in neural_lm.score(docs).collect()}
+    for row in docs.orderBy("doc_id").limit(40).collect():
+        ((keys, _),) = neural_lm.documents([row["text"].encode()])
+        far = near = model.k
+        total = 0.0
+        for key in keys.tolist():
+            cls = own.get(key, key % neural_lm.ENDINGS)
+            scores = outs @ (words_in[far] @ first + words_in[near] @ second) + bias
+            total += (scores[cls] - np.logaddexp.reduce(scores)) / np.log(10)
+            if cls < neural_lm.ENDINGS:
+                total += np.log10((n.get(key, 0) + 0.5) / mass[cls])
+            far, near = near, cls
+        assert got[row["doc_id"]] == pytest.approx(total, rel=1e-4), row["doc_id"]
+
+
+def test_word_hashes_name_their_endings():
+    plain = next(words.hashed([b"One two \xc3\xa9 ne", None, b"stone x"]))[1]
+    marked = next(words.hashed([b"One two \xc3\xa9 ne", None, b"stone x"], endings=512))[1]
+    assert ((plain ^ marked) >> np.uint64(9) == 0).all()
+    ends = (marked % np.uint64(512)).tolist()
+    assert ends[0] == ends[3] == ends[4] and len({ends[0], ends[1], ends[2], ends[5]}) == 4
