@@ -18,6 +18,14 @@ from tests.test_telemetry import BATCH, BLOCK, SCHEMA, START, event, events, run
 KEEP = ("run_id", "seq", "step", "steps", "seconds", "tps")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def sentinel(spark):
     return spark.createDataFrame([(None, 0, 0, "begin", START + dt.timedelta(days=400), None, None)], SCHEMA)
 
