@@ -86,6 +86,21 @@ def test_no_state_entry_outgrows_a_record(spark, monkeypatch):
     assert held.count() == 1001 and held.agg(F.max("n")).first()[0] < 250
 
 
+def test_state_keys_do_not_follow_the_number_of_runs(spark):
+    """A key costs milliseconds by itself: runs share one, and keep their own records and exact numbers."""
+    far = 2**60 + 1
+    rows = [r for i in range(600) for r in (event(far + i, far, "begin", 0), event(far + i, far + 2, "step", 10, 5, 1.0))]
+    table = spark.createDataFrame([*rows, event(None, None, "step", 7, 5, 1.0)], SCHEMA)
+    source, target = storage.scratch_path(spark, "in"), storage.scratch_path(spark, "out")
+    arriving = feed(spark, source, table)
+    throughput.finish(throughput.stream_throughput(arriving, 5, "1 day", target, 3600, True, 3600), 1)
+    held = spark.read.format("statestore").option("stateVarName", "counts").load(f"{target}/progress")
+    assert held.count() <= 256
+    throughput.finish(throughput.stream_throughput(feed(spark, source, sentinel(spark)), 5, "1 day", target, 3600, True, 3600), 1)
+    got = throughput.stream_intervals(spark, target, BLOCK, BATCH).filter("run_id is not null").collect()
+    assert sorted((r["run_id"], r["seq"], r["seconds"]) for r in got) == [(far + i, far + 2, 10.0) for i in range(600)]
+
+
 def test_an_aggregate_behind_the_state(spark, events, tmp_path):  # noqa: F811
     source = storage.scratch_path(spark, "in")
     feed(spark, source, events)
