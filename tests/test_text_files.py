@@ -7,6 +7,7 @@ import json
 import pytest
 
 from seqprep.operators import splits
+from seqprep.plans import catalog, storage
 from seqprep.sources import datasets
 
 SCHEMA = "n bigint, instruction string, response string"
@@ -74,3 +75,13 @@ def test_a_key_that_rows_share_is_ordered_by_address(spark, tmp_path):
     want = sorted(range(100), key=lambda i: (i % 4, i))
     assert sorted(r["response"] for r in found.filter("split = 'train'").collect()) == sorted(want[:90])
     assert sorted(r["response"] for r in found.filter("split = 'validation'").collect()) == sorted(want[90:95])
+
+
+def test_csv_files_follow_the_size_of_the_table(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(storage, "PIECE_BYTES", 10_000, raising=False)
+    shared = storage.shared_dir(spark)
+    before = storage.list_names(spark, shared)
+    found = catalog.read_csv_split(spark, sf_dir)
+    (written,) = [n for n in storage.list_names(spark, shared) if n.startswith("csv-") and n not in before]
+    files = [n for n in storage.list_names(spark, f"{shared}/{written}") if n.startswith("part-")]
+    assert len(files) > 20 and found.count() == round(spark.read.parquet(f"{sf_dir}/documents.parquet").count() * 0.95)
