@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from seqprep.sources import run_logs
 from seqprep.operators import telemetry
 from seqprep.plans import inputs, storage
 from seqprep.streaming import throughput
@@ -226,3 +227,19 @@ def test_an_event_of_any_kind_moves_the_watermark(spark, tmp_path):
     events = spark.readStream.schema(table.schema).parquet(f"{tmp_path}/in")
     throughput.finish(throughput.stream_throughput(events, 5, "10 seconds", f"{tmp_path}/out"))
     assert spark.read.parquet(f"{tmp_path}/out/clock").count() == 3
+
+
+def test_reading_tasks_do_not_follow_the_number_of_logs(spark, tmp_path):
+    for i in range(100):
+        folder = tmp_path / f"log={i}_240101_000000.log"
+        folder.mkdir()
+        (folder / "part-00000.txt").write_text("Start: a run\n")
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(2**30))
+    try:
+        found = run_logs.read_run_logs(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() <= 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert sorted(int(r["run"]) for r in found.collect()) == list(range(100))
+    finally:
+        spark.conf.set(name, before)
