@@ -55,6 +55,21 @@ def test_neighbour(rows, per_range, step):
     )
 
 
+def test_few_ranges_are_found_without_a_fold(rows, monkeypatch):
+    """A fold over the borders runs outside of generated code, microseconds a row; both find the same ranges."""
+    keys = rows.withColumn("g", F.nullif("g", F.lit(3))).withColumn("t", F.when(F.col("seq") % 7 > 0, F.col("t")))
+    for per_range in (500, 90, 30):
+        found = ranges.key_ranges(keys, ["g", "t", "seq"], per_range)
+        assert 1 < found.size <= 64
+        tree = keys.select("seq", ranges.range_id(keys, found).alias("at"))
+        assert "lambda" not in tree._jdf.queryExecution().optimizedPlan().toString()
+        with monkeypatch.context() as patched:
+            patched.setattr(ranges, "TREE_RANGES", 1)
+            fold = keys.select("seq", ranges.range_id(keys, found).alias("at"))
+        assert "lambda" in fold._jdf.queryExecution().optimizedPlan().toString()
+        assert ordered(tree, "seq", "at") == ordered(fold, "seq", "at")
+
+
 @pytest.mark.parametrize("per_range", [10_000, 90, 7])
 def test_running_sum(rows, per_range):
     found = ranges.key_ranges(rows, ["g", "t", "seq"], per_range)

@@ -101,6 +101,29 @@ def test_state_keys_do_not_follow_the_number_of_runs(spark):
     assert sorted((r["run_id"], r["seq"], r["seconds"]) for r in got) == [(far + i, far + 2, 10.0) for i in range(600)]
 
 
+def test_a_held_record_is_one_text_and_comes_back_exactly(spark):
+    """Each field of an entry costs conversions in every call to the store, 2 million of them at 60 x sf0.1."""
+    far = 2**60 + 1
+    rows = [
+        event(far, far, "begin", 0),
+        event(far, far + 1, "step", 10, 5, float("nan")),
+        event(far, far + 2, "step", 20, 10, 0.1 + 0.2),
+        event(far, far + 3, "step", 30, 15, float("-inf")),
+        event(far, far + 4, "eval_log", 40, 15),
+    ]
+    named = spark.createDataFrame(rows, SCHEMA).withColumn("run_id", F.concat(F.lit('é"\\'), F.col("run_id").cast("string")))
+    end = sentinel(spark).withColumn("run_id", F.col("run_id").cast("string"))
+    source, target = storage.scratch_path(spark, "in"), storage.scratch_path(spark, "out")
+    throughput.finish(throughput.stream_throughput(feed(spark, source, named), 5, "1 day", target, 60, True, 20), 1)
+    held = spark.read.format("statestore").option("stateVarName", "held").load(f"{target}/progress")
+    assert held.schema["user_map_value"].dataType.names == ["record"]
+    throughput.finish(throughput.stream_throughput(feed(spark, source, end), 5, "1 day", target, 60, True, 20), 1)
+    found = spark.read.parquet(f"{target}/clock").filter("run_id is not null").orderBy("us").collect()
+    assert [(r["run_id"], r["seq"], str(r["loss"]), r["learning_rate"]) for r in found] == [
+        (f'é"\\{far}', r[1], str(r[5]), r[6]) for r in rows
+    ]
+
+
 def test_an_aggregate_behind_the_state(spark, events, tmp_path):  # noqa: F811
     source = storage.scratch_path(spark, "in")
     feed(spark, source, events)
