@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from seqprep.operators.run_state import (
     clock_states,
@@ -74,13 +75,14 @@ class RunTotals:
         rows = spark.read.schema(rows.schema).parquet(folder(RECORDS))
         clock = rows.filter("kind is null")
         fresh = _states_of(clock.filter("not late"))
-        late = clock.filter("late").select("run_id", "span").distinct()
-        has_late = not late.isEmpty()
+        # One pass without an exchange says whether there are late records and where.
+        low, high = clock.filter("late").agg(F.min("span"), F.max("span")).first()
+        has_late = low is not None
         if has_late:
-            mended = self._mended(late, batch_id)
-            spans = [F.col("run_id").alias("_run"), F.col("span").alias("_span")]
+            mended = self._mended(rows.schema, low, high, batch_id)
+            late = clock.filter("late").select(F.col("run_id").alias("_run"), F.col("span").alias("_span")).distinct()
             again = _same_run() & (F.col("span") == F.col("_span"))
-            fresh = fresh.join(late.select(*spans), again, "left_anti").withColumn("mended", F.lit(False))
+            fresh = fresh.join(late, again, "left_anti").withColumn("mended", F.lit(False))
             fresh = fresh.unionByName(mended.withColumn("mended", F.lit(True)))
         else:
             fresh = fresh.withColumn("mended", F.lit(False))
@@ -91,9 +93,10 @@ class RunTotals:
         )
         parts = [known_states(told)]
         before = self._totals(batch_id - 1) if batch_id else None
-        runs = late.select(F.col("run_id").alias("_run")).distinct()
         if has_late:
-            parts.append(self._effective(batch_id).join(runs, _same_run(), "left_semi").drop("span"))
+            # Each span with a late record has a mended state.
+            runs = fresh.filter("mended").select(F.col("run_id").alias("_run")).distinct()
+            parts.append(self._effective(fresh.schema, batch_id).join(runs, _same_run(), "left_semi").drop("span"))
             parts.append(fresh.join(runs, _same_run(), "left_anti").drop("span", "mended"))
             if before is not None:
                 parts.append(before.join(runs, _same_run(), "left_anti"))
@@ -104,24 +107,26 @@ class RunTotals:
         merge_states(parts).write.mode("overwrite").parquet(folder(TOTALS))
         remove(spark, _folder(self.path, TOTALS, batch_id - KEPT_TOTALS))
 
-    def _upto(self, table: str, batch_id: int) -> DataFrame:
+    def _upto(self, table: str, schema: StructType, batch_id: int) -> DataFrame:
         """The table's rows of all batches up to this one."""
-        rows = self.spark.read.parquet(f"{self.path}/{table}")
-        return rows.filter(F.col("of_batch") <= batch_id)
+        rows = self.spark.read.schema(StructType([*schema, StructField("of_batch", IntegerType())]))
+        return rows.parquet(f"{self.path}/{table}").filter(F.col("of_batch") <= batch_id)
 
-    def _mended(self, late: DataFrame, batch_id: int) -> DataFrame:
-        """States of whole spans, from all their records so far.
+    def _mended(self, schema: StructType, low: int, high: int, batch_id: int) -> DataFrame:
+        """States of the whole spans that got late records, from all their records so far.
 
-        Batches are stretches of time, so the bounds of the spans leave out most files of the records.
+        Batches are stretches of time, so the bounds of the spans leave out most files of the records. The
+        rows are exchanged once: the spans concerned are found where their records are put in order.
         """
-        low, high = late.agg(F.min("span"), F.max("span")).first()
-        spans = late.select(F.col("run_id").alias("_run"), F.col("span").alias("_span"))
-        rows = self._upto(RECORDS, batch_id).filter(F.col("span").between(low, high) & F.col("kind").isNull())
-        return _states_of(rows.join(spans, _same_run() & (F.col("span") == F.col("_span")), "left_semi"))
+        rows = self._upto(RECORDS, schema, batch_id)
+        rows = rows.filter(F.col("span").between(low, high) & F.col("kind").isNull())
+        came_late = F.max(F.col("late") & (F.col("of_batch") == batch_id))
+        rows = rows.withColumn("_mend", came_late.over(Window.partitionBy("run_id", "span")))
+        return _states_of(rows.filter("_mend"))
 
-    def _effective(self, batch_id: int) -> DataFrame:
+    def _effective(self, schema: StructType, batch_id: int) -> DataFrame:
         """The states that hold after a batch: of a span from its latest mended one on."""
-        rows = self._upto(STATES, batch_id)
+        rows = self._upto(STATES, schema, batch_id)
         per_span = Window.partitionBy("run_id", "span")
         rows = rows.withColumn("_from", F.max(F.when(F.col("mended"), F.col("of_batch"))).over(per_span))
         kept = rows.filter(F.col("_from").isNull() | (F.col("of_batch") >= F.col("_from")))

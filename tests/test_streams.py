@@ -175,6 +175,24 @@ def test_totals_of_batches_equal_the_batch_report(spark, events, delay, n, again
     assert len(kept) <= incremental.KEPT_TOTALS
 
 
+def test_late_records_are_exchanged_once(spark, events):  # noqa: F811
+    """Spans with late records are put in order by one exchange of their records, without a join."""
+    source, target = storage.scratch_path(spark, "in"), storage.scratch_path(spark, "totals")
+    for part in parts_of(spark, events, 2, 5):
+        arriving = feed(spark, source, part)
+        throughput.finish(incremental.stream_summary_incremental(arriving, 5, BATCH, "1 second", target, 60, 20), 1)
+    totals = incremental.RunTotals(spark, target)
+    last = totals.last_batch()
+    found = spark.read.parquet(f"{target}/records").filter("late").agg(F.max("of_batch"), F.min("span"), F.max("span")).first()
+    assert found[0] is not None and found[0] <= last
+    schema = spark.read.parquet(f"{target}/records/of_batch={found[0]}").schema
+    mended = totals._mended(schema, found[1], found[2], found[0])
+    plan = mended._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    states = spark.read.parquet(f"{target}/states/of_batch={found[0]}").filter("mended")
+    assert not mended.isEmpty() and sorted(map(str, mended.collect())) == sorted(map(str, states.drop("mended").collect()))
+
+
 def test_totals_without_their_predecessor_are_refused(spark):
     rows = spark.createDataFrame([event(1, 0, "begin", 0)], SCHEMA)
     empty = incremental.RunTotals(spark, storage.scratch_path(spark, "totals"))
